@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import sentencepiece_codec
+from filigree.llm import mixing, sentencepiece_codec
 from filigree.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_ids, round_trip of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_codec.encode(docs).drop("text")
+
+
+@_query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the target mixture, once for each epoch that takes them."""
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_mixing"] = f"with {mixing.mixed_sql()} select * from mixed"
