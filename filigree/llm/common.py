@@ -7,7 +7,11 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,3 +41,14 @@ def partitions(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of bounded text size."""
+    if not batch.num_rows:
+        return
+    sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    group = (np.cumsum(sizes) - sizes) // chars
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield batch.slice(a, b - a)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import mixing, sentencepiece_codec
+from filigree.llm import language, mixing, quality, sentencepiece_codec
 from filigree.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_mixing"] = f"with {mixing.mixed_sql()} select * from mixed"
+
+
+@_query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, language and confidence of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return language.tag(docs.select("doc_id", "text"), language.fit(docs)).drop("text")
+
+
+@_query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, quality_score and keep of all documents."""
+    return quality.classify(table(spark, sf_dir, "documents"))

@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from filigree.llm.common import text_slices
+
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _WORD = re.compile("▁*[^▁]+|▁+")
 _NEVER = np.int64(1) << np.int64(60)
@@ -258,17 +260,6 @@ def vocabulary(model_file: str) -> MergeVocabulary:
     return _HELD[model_file]
 
 
-def _pieces_of(batch: pa.RecordBatch, column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of bounded text size."""
-    if not batch.num_rows:
-        return
-    sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    group = (np.cumsum(sizes) - sizes) // chars
-    cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield batch.slice(a, b - a)
-
-
 def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, text: str = "text", check: bool = True, prefix: str = "") -> DataFrame:
     """docs with columns ids (array<int>), n_ids and round_trip (do the decoded ids give the text back).
 
@@ -286,7 +277,7 @@ def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_file)
         for whole in batches:
-            for batch in _pieces_of(whole, text):
+            for batch in text_slices(whole, text):
                 texts = batch.column(text).to_pylist()
                 ids, offsets = v.encode_batch(texts, check)
                 same = [None if a is None else a == b for a, b in zip(texts, v.decode_batch(ids, offsets))]
