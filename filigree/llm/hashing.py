@@ -20,7 +20,6 @@ _IS_WORD = (
 )
 #: The same words as a regular expression, for SQL and brute-force versions.
 WORD_RE = r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
-_CHUNK = 1 << 16
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -83,7 +82,7 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return out
 
 
-def batch_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def batch_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, offsets): the words of text i are hashes[offsets[i]:offsets[i+1]].
 
     Texts are lower-cased; a null counts as an empty text.
@@ -96,36 +95,43 @@ def batch_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(buf, starts, ends), np.searchsorted(starts, bounds)
 
 
-def batch_ngrams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct n-gram hashes of each text, offsets).
+_DOCS = 2048  # texts that are sorted together; their number takes the upper 11 bits of a key
+GRAM_BITS = 53
+
+
+def batch_ngrams(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct 53-bit n-gram hashes of each text, offsets).
 
     A text of fewer than n words, but of one at least, has one n-gram: all its words.
     """
-    words, offsets = batch_words(texts)
-    counts = np.diff(offsets)
-    grams = np.zeros(len(words), dtype=np.uint64)
-    short = counts < n
+    parts, sizes = [], []
+    for lo in range(0, len(texts), _DOCS):
+        words, offsets = batch_words(texts[lo : lo + _DOCS])
+        counts = np.diff(offsets)
+        grams = window_hashes(words, n)
+        doc = np.repeat(np.arange(len(counts)), counts)
+        keep = np.arange(len(words)) - offsets[doc] <= counts[doc] - n
+        for i in np.flatnonzero((counts < n) & (counts > 0)):
+            grams[offsets[i]] = window_hashes(np.append(words[offsets[i] : offsets[i + 1]], np.uint64(counts[i])), int(counts[i]) + 1)[0]
+            keep[offsets[i]] = True
+        keys = (doc[keep].astype(np.uint64) << np.uint64(GRAM_BITS)) | (grams[keep] >> np.uint64(64 - GRAM_BITS))
+        keys.sort()
+        if len(keys):
+            keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
+        parts.append(keys & np.uint64((1 << GRAM_BITS) - 1))
+        sizes.append(np.bincount((keys >> np.uint64(GRAM_BITS)).astype(np.int64), minlength=len(counts)))
+    if not parts:
+        return np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
+    return np.concatenate(parts), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+
+
+def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each position on; 0 where fewer are left."""
+    out = np.zeros(len(words), dtype=np.uint64)
     m = len(words) - n + 1
     if m > 0:
         acc = np.zeros(m, dtype=np.uint64)
         for k in range(n):
             acc = acc * np.uint64(_P) + words[k : k + m]
-        grams[:m] = mix64(acc)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    place = np.arange(len(words)) - offsets[doc]
-    keep = place <= counts[doc] - n
-    for i in np.flatnonzero(short & (counts > 0)):
-        acc = np.uint64(counts[i])
-        with np.errstate(over="ignore"):
-            for w in words[offsets[i] : offsets[i + 1]]:
-                acc = acc * np.uint64(_P) + w
-        grams[offsets[i]] = mix64(np.array([acc]))[0]
-        keep[offsets[i]] = True
-    grams, doc = grams[keep], doc[keep]
-    order = np.lexsort((grams, doc))
-    grams, doc = grams[order], doc[order]
-    if len(grams):
-        fresh = np.ones(len(grams), dtype=bool)
-        fresh[1:] = (grams[1:] != grams[:-1]) | (doc[1:] != doc[:-1])
-        grams, doc = grams[fresh], doc[fresh]
-    return grams, np.searchsorted(doc, np.arange(len(texts) + 1))
+        out[:m] = mix64(acc)
+    return out
