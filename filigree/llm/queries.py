@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import jaccard_join, language, mixing, quality, sentencepiece_codec
+from filigree.llm import jaccard_join, language, mixing, quality, sentencepiece_codec, suffix_dedup
 from filigree.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,12 @@ ORACLES["op3_jaccard_join"] = f"""with {jaccard_join.sets_sql("documents")}, {ja
 select a.doc_a, b.doc_a as doc_b, a.copies as copies_a, b.copies as copies_b, a.size as size_a, b.size as size_b, overlap,
   round(overlap / (a.size + b.size - overlap), 6) as jaccard from near join sets a on a.doc_a = near.u join sets b on b.doc_a = near.v
 union all select doc_a, doc_a, copies, copies, size, size, size, 1.0 from sets where len(copies) > 1"""
+
+
+@_query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of words that repeat earlier passages of 50 words or more, by document."""
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_suffix_dedup"] = suffix_dedup.repeats_sql()
