@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents in, encoded training rows out."""
+"""The corpus pipeline: documents in, encoded training rows out.
+
+Each stage works on all that the stage before it kept; run() writes what a
+stage returns to the shared folder and reads it again for the next one.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import sentencepiece_codec
+from filigree.llm import jaccard_join, mixing, quality, sentencepiece_codec, suffix_dedup
 from filigree.llm.common import stored, table
 
 
-def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the quality classifier rejects."""
+    return quality.kept(docs)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of smallest id."""
+    return jaccard_join.unique(docs)
+
+
+def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that earlier documents hold."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The target mixture; a document comes once for each epoch that takes it."""
+    return mixing.mix(docs, mixing.document_tree(), mixing.WEIGHTS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of documents with ids, n_ids and round_trip."""
     return sentencepiece_codec.encode(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("sentencepiece", encoding)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("suffix-array dedup", no_repeated_passages),
+    ("mixing", mixed),
+    ("SentencePiece", encoded),
+]
+#: The classifier and the tokenizer are beyond SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
