@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filigree.llm import jaccard_join, language, mixing, quality, sentencepiece_codec, suffix_dedup
+from filigree.llm import chat_format, exact_search, html_extract, jaccard_join, language, mixing, permutation_index, quality, sentencepiece_codec, suffix_dedup
 from filigree.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,37 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_suffix_dedup"] = suffix_dedup.repeats_sql()
+
+
+@_query
+def op5_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest others of every embedding."""
+    return exact_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op5_exact_search"] = exact_search.top_k_sql()
+
+
+@_query
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About the ten nearest others of every embedding."""
+    return permutation_index.search(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The content region of every page, with weights from the labelled pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
+ORACLES["op2_html_extraction"] = html_extract.extract_sql()
+
+
+@_query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as one text that parses back to its turns."""
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op9_chat_formatting"] = chat_format.format_sql()
