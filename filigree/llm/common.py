@@ -43,6 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The frame without its columns of these names, in any case."""
+    gone = {n.lower() for n in names}
+    return df.drop(*[c for c in df.columns if c.lower() in gone])
+
+
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of bounded text size."""
     if not batch.num_rows:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filigree.llm import bytegrams
-from filigree.llm.common import stored, text_slices
+from filigree.llm.common import stored, text_slices, without
 
 BITS = 12
 GRAMS = (3, 4)
@@ -120,10 +120,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
 
 
 def tag(docs: DataFrame, model: Model, text: str = "text", out: str = "language", sure: str = "confidence") -> DataFrame:
-    """docs with columns out and sure."""
-    clash = {c.lower() for c in docs.columns} & {out.lower(), sure.lower()}
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    """docs with columns out and sure, which replace columns of these names; null and wordless texts are unknown with confidence 0."""
+    docs = without(docs, out, sure)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType()), T.StructField(sure, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filigree.llm import bytegrams
-from filigree.llm.common import stored, text_slices
+from filigree.llm.common import stored, text_slices, without
 
 BITS = 12
 #: A short text's trigrams count for less: this many are added that say nothing.
@@ -185,12 +185,11 @@ def score_texts(texts: list[str | None], weights: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "quality_score", threshold: float | None = None) -> DataFrame:
-    """docs with column out in [0, 1]; null and empty texts score 0.
+    """docs with column out in [0, 1], which replaces one of that name; null and empty texts score 0.
 
     With a threshold only the rows that reach it stay.
     """
-    if out.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column exists already: {out}")
+    docs = without(docs, out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from filigree.llm.common import text_slices
+from filigree.llm.common import text_slices, without
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _WORD = re.compile("▁*[^▁]+|▁+")
@@ -265,13 +265,12 @@ def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, text: str = "text",
 
     A null text has null ids, n_ids 0 and a null round_trip; an empty text has
     empty ids.  Literal boundary marks (U+2581) decode to spaces, so such a text
-    has round_trip false.  Other columns pass through; where docs has a column of
-    one of the new names, prefix must tell them apart.
+    has round_trip false.  Other columns pass through; columns of docs that have
+    one of the new names are replaced, unless prefix tells them apart.  An empty
+    table gives an empty one, repeated rows give repeated rows.
     """
     new = [f"{prefix}ids", f"{prefix}n_ids", f"{prefix}round_trip"]
-    clash = {c.lower() for c in docs.columns} & {c.lower() for c in new}
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    docs = without(docs, *new)
     schema = T.StructType([*docs.schema.fields, T.StructField(new[0], T.ArrayType(T.IntegerType())), T.StructField(new[1], T.LongType()), T.StructField(new[2], T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,9 +288,8 @@ def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, text: str = "text",
 
 
 def decode(rows: DataFrame, model_file: str = DEFAULT_MODEL, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """rows with the text of their ids in column out; null ids give a null text, empty ids an empty one."""
-    if out.lower() in {c.lower() for c in rows.columns}:
-        raise ValueError(f"column exists already: {out}")
+    """rows with the text of their ids in column out, which replaces one of that name; null ids give a null text, empty ids an empty one."""
+    rows = without(rows, out)
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -239,9 +239,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text:
 
 
 def cut_text(text: str, starts: list[int], ends: list[int]) -> str:
-    """The text without the words of the spans and what stands between them up to the next word."""
+    """The text without the words of the spans and what stands between them up to the next word; as it is if it has fewer words than the spans."""
     raw = text.encode("utf-8", "replace")
     begins, _ = word_spans(np.frombuffer(raw, dtype=np.uint8))
+    if max(ends) > len(begins):
+        return text
     out, at = [], 0
     for a, b in zip(starts, ends):
         out.append(raw[at : begins[a]])
@@ -253,7 +255,9 @@ def cut_text(text: str, starts: list[int], ends: list[int]) -> str:
 def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
     """docs, all columns, with repeated passages cut from their texts and column chars, if there is one, counted anew.
 
-    A document of which no word is left goes; other rows stay as they are.
+    A document of which no word is left goes; other rows stay as they are, also
+    null and empty texts.  Of rows of one id with different texts those too short
+    for the spans of the id stay as they are.
     """
     found = stored(repeats(docs, length, doc_id, text).select(F.col("doc_id").alias("__cut_id"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends")), "suffix-repeats")
     small = found.count() <= BROADCAST_ROWS
@@ -271,8 +275,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id
                 ends = batch.column("__ends")
                 keep = np.ones(batch.num_rows, dtype=bool)
                 for i in rows.tolist():
-                    texts[i] = cut_text(texts[i], starts[i].as_py(), ends[i].as_py()) if texts[i] else texts[i]
-                    keep[i] = bool(texts[i]) and len(word_spans(np.frombuffer(texts[i].encode(), dtype=np.uint8))[0]) > 0
+                    whole, texts[i] = texts[i], cut_text(texts[i], starts[i].as_py(), ends[i].as_py()) if texts[i] else texts[i]
+                    keep[i] = whole == texts[i] or len(word_spans(np.frombuffer(texts[i].encode("utf-8", "replace"), dtype=np.uint8))[0]) > 0
                 parts[which] = pa.array(texts, parts[which].type)
                 if count >= 0:
                     sizes = parts[count].to_pylist()
