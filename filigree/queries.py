@@ -1,19 +1,592 @@
-"""Queries over the driver's tables for every operator family, and their SQL."""
+"""Queries over the driver's tables for every operator family, and their SQL.
+
+The tables stand in for filings: orders are filings, customers registrants,
+line items facts, events the index feed, documents filing texts, pages primary
+documents.  True inputs of the operators are in the tests.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from filigree import data
+from filigree.functions import text as tx
+from filigree.operators import country, derived, facts, idioms, ledger, manifest, submission
+from filigree.sources import landing
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _query(sql: str | None = None) -> Callable:
+    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _day(c: str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def _quoted(words: list[str]) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+# ---- filings
+
+_ACCESSION_SQL = "printf('%010d-%02d-%06d', o_custkey, year(o_orderdate) % 100, o_orderkey % 1000000)"
+_FILINGS_SQL = f"""filings as (select o_orderkey, {_ACCESSION_SQL} as accession_number, o_custkey as cik, case o_orderpriority when '1-URGENT' then '10-K' when '2-HIGH' then '10-K/A' when '3-MEDIUM' then '10-Q' when '4-NOT SPECIFIED' then '8-K' else '4' end as form_type,
+  strftime(o_orderdate, '%Y-%m-%d') as filing_date, case when o_orderkey % 5 = 0 then '' else 'doc' || o_orderkey || '.htm' end as primary_document, o_orderkey % 3 = 0 as inline from orders)"""
+_FOLDER_SQL = "'https://www.sec.gov/Archives/edgar/data/' || cik || '/' || replace(accession_number, '-', '')"
+
+
+def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders")
+    form = F.create_map(*[F.lit(x) for x in ("1-URGENT", "10-K", "2-HIGH", "10-K/A", "3-MEDIUM", "10-Q", "4-NOT SPECIFIED", "8-K")])
+    return o.select(
+        "o_orderkey",
+        F.format_string("%010d-%02d-%06d", "o_custkey", F.year("o_orderdate") % 100, F.col("o_orderkey") % 1000000).alias("accession_number"),
+        F.col("o_custkey").alias("cik"),
+        F.coalesce(F.try_element_at(form, F.col("o_orderpriority")), F.lit("4")).alias("form_type"),
+        _day("o_orderdate").alias("filing_date"),
+        F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.concat(F.lit("doc"), F.col("o_orderkey"), F.lit(".htm"))).alias("primary_document"),
+        (F.col("o_orderkey") % 3 == 0).alias("inline"),
+    )
+
+
+@_query(
+    f"""with {_FILINGS_SQL} select accession_number, cik, form_type, filing_date, case when primary_document <> '' then {_FOLDER_SQL} || '/' || primary_document end as filing_url, {_FOLDER_SQL} || '/' || accession_number || '.txt' as submission_txt_url,
+  case when inline and primary_document <> '' then {_FOLDER_SQL} || '/' || replace(primary_document, '.htm', '_htm.xml') end as xbrl_instance_url, lpad(cik::varchar, 10, '0') as padded
+from filings where form_type in ('10-K', '10-Q') and filing_date between '1995-01-01' and '1997-12-31'"""
+)
 def filing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.select(F.col("o_orderkey").alias("filing"))
+    rows = manifest.filings(_filings(spark, sf_dir), ["10-K", "10-Q"], "1995-01-01", "1997-12-31")
+    url = manifest.links(F.col("cik"), F.col("accession_number"), F.col("primary_document"))
+    return rows.select("accession_number", "cik", "form_type", "filing_date", url["filing_url"].alias("filing_url"), url["submission_txt_url"].alias("submission_txt_url"), manifest.instance_url(F.col("cik"), F.col("accession_number"), F.col("primary_document"), F.col("inline")).alias("xbrl_instance_url"), manifest.padded_cik(F.col("cik")).alias("padded"))
+
+
+@_query(f"with {_FILINGS_SQL}, n as (select *, row_number() over (partition by cik order by o_orderkey) - 1 as pos from filings) select cik, pos::int as pos, o_orderkey as key, form_type as form from n")
+def parallel_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies' filings as parallel arrays, back to rows."""
+    packed = _filings(spark, sf_dir).groupBy("cik").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "form_type"))).alias("a"))
+    arrays = packed.select("cik", F.struct(F.col("a.o_orderkey").alias("key"), F.col("a.form_type").alias("form")).alias("recent"))
+    return manifest.parallel_rows(arrays, "recent", ["cik"])
+
+
+@_query(
+    f"""with {_FILINGS_SQL}, r as (select *, case when regexp_matches(form_type, '^(10-K|20-F|40-F)') then 0 when regexp_matches(form_type, '^(10-Q|8-K|6-K)') then 1 else 2 end as k, first_value(form_type) over (partition by cik order by filing_date desc, accession_number) as newest_form from filings),
+n as (select *, row_number() over (partition by cik order by k, filing_date desc, accession_number) as n from r) select cik, accession_number, form_type, filing_date, newest_form from n where n = 1 and k < 2"""
+)
+def latest_cover_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.latest(_filings(spark, sf_dir)).select("cik", "accession_number", "form_type", "filing_date", "newest_form")
+
+
+_TICKERS_SQL = "tickers as (select c_custkey as pos, c_custkey % 700 as cik, upper(left(c_mktsegment, 2)) || (c_custkey % 900) as ticker from customer)"
+
+
+def _tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), (F.col("c_custkey") % 700).alias("cik"), F.concat(F.upper(F.left("c_mktsegment", F.lit(2))), F.col("c_custkey") % 900).alias("ticker"))
+
+
+@_query(f"with {_TICKERS_SQL} select cik, arg_min(ticker, pos) as ticker from tickers group by cik")
+def ticker_map_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.first_ticker(_tickers(spark, sf_dir))
+
+
+@_query(f"with {_TICKERS_SQL} select upper(ticker) as ticker, arg_max(cik, pos) as cik from tickers group by 1")
+def ticker_map_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.last_cik(_tickers(spark, sf_dir))
+
+
+@_query(f"with {_TICKERS_SQL}, l as (select upper(ticker) as t, arg_max(cik, pos) as c from tickers group by 1), q as (select case when c_custkey % 3 = 0 then '00' || c_custkey else lower(left(c_mktsegment, 2)) || c_custkey end as query from customer) select query, case when regexp_matches(query, '^[0-9]+$') then query::bigint::varchar else c::varchar end as cik from q left join l on upper(query) = t")
+def resolve_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _table(spark, sf_dir, "customer")
+    asked = c.select(F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("00"), "c_custkey")).otherwise(F.concat(F.lower(F.left("c_mktsegment", F.lit(2))), "c_custkey")).alias("query"))
+    return manifest.resolve(asked, _tickers(spark, sf_dir))
+
+
+@_query(
+    f"""with {_FILINGS_SQL}, lines as (select filing_date as idx_date, o_orderkey as line_no, case when o_orderkey % 11 = 0 then 'abc' else cik::varchar end as c, 'Name ' || cik as entity_name, form_type, filing_date, case when o_orderkey % 13 <> 0 then accession_number end as acc, o_orderkey from filings),
+rules as (select idx_date, min(line_no) as at from lines where o_orderkey % 4 = 1 group by idx_date)
+select l.idx_date, l.line_no, c::bigint as cik, entity_name, form_type, filing_date, acc as accession_number, '' as ticker from lines l join rules r on l.idx_date = r.idx_date where l.line_no > r.at and c <> 'abc' and acc is not null and o_orderkey % 4 <> 1"""
+)
+def index_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _filings(spark, sf_dir)
+    path = F.when(F.col("o_orderkey") % 13 == 0, F.lit("edgar/data/readme.txt")).otherwise(F.concat(F.lit("edgar/data/"), F.col("cik"), F.lit("/"), F.col("accession_number"), F.lit(".txt")))
+    line = F.concat_ws("|", F.when(F.col("o_orderkey") % 11 == 0, F.lit("abc")).otherwise(F.col("cik").cast("string")), F.concat(F.lit("Name "), "cik"), "form_type", F.replace("filing_date", F.lit("-"), F.lit("")), path)
+    lines = f.select(F.col("filing_date").alias("idx_date"), F.col("o_orderkey").alias("line_no"), F.when(F.col("o_orderkey") % 4 == 1, F.lit("-" * 40)).otherwise(line).alias("value"))
+    return landing.index_lines(lines)
+
+
+@_query("select distinct strftime(o_orderdate, '%Y-%m-%d') as day, year(o_orderdate) || '-QTR' || quarter(o_orderdate) as label, 'https://www.sec.gov/Archives/edgar/daily-index/' || year(o_orderdate) || '/QTR' || quarter(o_orderdate) || '/master.' || strftime(o_orderdate, '%Y%m%d') || '.idx' as url from orders")
+def quarter_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("o_orderdate").cast("date")
+    return _table(spark, sf_dir, "orders").select(_day("o_orderdate").alias("day"), landing.quarter_label(d).alias("label"), landing.index_url(d).alias("url")).distinct()
+
+
+@_query("with b as (select o_custkey as cik, min(o_orderdate)::date as a, max(o_orderdate)::date as z from orders group by 1) select cik, strftime(unnest(generate_series(date_trunc('quarter', a), date_trunc('quarter', z), interval 3 month)), '%Y-%m-%d') as quarter from b")
+def quarter_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("o_orderdate").cast("date")
+    bounds = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cik")).agg(F.min(d).alias("a"), F.max(d).alias("z"))
+    return bounds.select("cik", F.explode(landing.quarters(F.col("a"), F.col("z"))).alias("q")).select("cik", _day("q").alias("quarter"))
+
+
+# ---- ledger
+
+_TRANSITIONS_SQL = "transitions as (select strftime(ts, '%Y-%m-%d') as idx_date, event_id as seq, case event_type when 'purchase' then 'parsed' when 'view' then 'empty' when 'error' then 'failed' else 'available' end as status from events where user_id % 29 = 0), ledger as (select idx_date, arg_max(status, (case when status = 'available' then 0 else 1 end) * 1000000000 + seq) as status, max(seq) as seq from transitions group by 1)"
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.create_map(*[F.lit(x) for x in ("purchase", "parsed", "view", "empty", "error", "failed")])
+    e = _table(spark, sf_dir, "events").where("user_id % 29 = 0")
+    return ledger.current(e.select(_day("ts").alias("idx_date"), F.col("event_id").alias("seq"), F.coalesce(F.try_element_at(status, F.col("event_type")), F.lit("available")).alias("status")))
+
+
+@_query(f"with {_TRANSITIONS_SQL} select * from ledger")
+def ledger_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ledger(spark, sf_dir)
+
+
+@_query(f"with {_TRANSITIONS_SQL} select max(idx_date) filter (status in ('parsed', 'empty')) as watermark from ledger")
+def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.watermark(_ledger(spark, sf_dir))
+
+
+@_query(f"with {_TRANSITIONS_SQL} select count(*) as n_days, min(idx_date) as first_date, max(idx_date) as last_date, " + ", ".join(f"count(*) filter (status = '{s}') as n_{s}" for s in ("parsed", "empty", "available", "failed")) + " from ledger")
+def ledger_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.summary(_ledger(spark, sf_dir))
+
+
+@_query(f"""with {_TRANSITIONS_SQL}, d as (select distinct strftime(ts, '%Y-%m-%d') as idx_date from events where day(ts) % 2 = 0)
+select idx_date, 'discovered' as origin from d where idx_date not in (select idx_date from ledger where status in ('parsed', 'empty')) union all
+select idx_date, 'backlog' from ledger where status in ('available', 'failed') and idx_date <= '2024-01-25' and idx_date not in (select idx_date from d)""")
+def ingest_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _table(spark, sf_dir, "events").where(F.day("ts") % 2 == 0).select(_day("ts").alias("idx_date"))
+    return ledger.todo(found, _ledger(spark, sf_dir), F.lit("2024-01-25"))
+
+
+_MERGE_SQL = f"""{_FILINGS_SQL}, s as (select accession_number, cik, form_type, primary_document, case when o_orderkey % 2 = 0 then filing_date end as report_date, (o_orderkey % 7 = 0)::int as enriched from filings where o_orderkey % 3 <> 0),
+n as (select accession_number, cik, form_type || '/A' as form_type, case when o_orderkey % 2 = 0 then '' else 'new.htm' end as primary_document, case when o_orderkey % 4 = 1 then '2024-01-01' end as report_date, (o_orderkey % 5 = 0)::int as enriched from filings where o_orderkey % 3 <> 1)"""
+
+
+@_query(
+    f"""with {_MERGE_SQL} select coalesce(n.accession_number, s.accession_number) as accession_number, coalesce(n.cik, s.cik) as cik, case when n.cik is null then s.form_type else n.form_type end as form_type, coalesce(nullif(n.primary_document, ''), case when s.cik is null then n.primary_document else s.primary_document end) as primary_document,
+  coalesce(n.report_date, s.report_date) as report_date, greatest(n.enriched, s.enriched) as enriched, case when s.cik is null then 2 else 1 end::int as first_seen_run, case when n.cik is null then 1 else 2 end::int as last_seen_run, case when s.cik is null then 'now' else 'then' end as ingested_at, case when n.cik is not null and s.cik is not null then 'now' end as updated_at
+from s full join n on s.accession_number = n.accession_number and s.cik = n.cik"""
+)
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _filings(spark, sf_dir).dropDuplicates(["accession_number", "cik"])
+    k = F.col("o_orderkey")
+    stored = f.where(k % 3 != 0).select("accession_number", "cik", "form_type", "primary_document", F.when(k % 2 == 0, F.col("filing_date")).alias("report_date"), (k % 7 == 0).cast("int").alias("enriched"), F.lit(1).alias("first_seen_run"), F.lit(1).alias("last_seen_run"), F.lit("then").alias("ingested_at"), F.lit(None).cast("string").alias("updated_at"))
+    new = f.where(k % 3 != 1).select("accession_number", "cik", F.concat("form_type", F.lit("/A")).alias("form_type"), F.when(k % 2 == 0, "").otherwise("new.htm").alias("primary_document"), F.when(k % 4 == 1, "2024-01-01").alias("report_date"), (k % 5 == 0).cast("int").alias("enriched"))
+    return ledger.upserted(stored, new, F.lit(2), F.lit("now"))
+
+
+@_query(f"with {_FILINGS_SQL} select accession_number, cik, form_type, filing_date from filings where o_orderkey % 7 <> 0 and form_type = '10-K' and filing_date >= '1996-01-01' order by filing_date, accession_number limit 100")
+def unenriched_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue's head; the limit is the feature."""
+    f = _filings(spark, sf_dir).withColumn("enriched", (F.col("o_orderkey") % 7 == 0).cast("int"))
+    return ledger.unenriched(f, ["10-K"], "1996-01-01", None, 100).select("accession_number", "cik", "form_type", "filing_date")
+
+
+@_query("select user_id as run_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as started, arg_max(event_type, ts) as status, max(round(value, 2)) as rows from events group by 1 order by 1 desc limit 20")
+def run_log_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest runs; the limit is the feature."""
+    log = _table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("ts").alias("at"), F.col("event_type").alias("status"), F.round("value", 2).alias("rows"))
+    return ledger.runs(log, 20).withColumn("started", F.date_format("started", "yyyy-MM-dd HH:mm:ss"))
+
+
+@_query("""with n as (select user_id, event_type = 'error' as bad, row_number() over (partition by user_id order by ts, event_id) as i from events),
+g as (select user_id, i, i - row_number() over (partition by user_id order by i) as g from n where bad) select user_id, min(i)::int as first, max(i)::int as last, count(*) as length from g group by user_id, g""")
+def circuit_breaker_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.failure_runs(_table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+
+
+@_query(
+    f"""with {_FILINGS_SQL}, t as (select *, o_orderkey % 4 <> 0 as has from filings) select accession_number, cik, case when has then filing_date else 'old' end as report_date, case when has then '34' else 'old' end as act, case when has and o_orderkey % 2 = 1 then '001-' || o_orderkey else 'old' end as file_number,
+  case when o_orderkey % 4 = 3 then 'd' || o_orderkey || '.htm' else 'old.htm' end as primary_document, case when has then o_orderkey % 3 = 0 else null end as is_xbrl, case when o_orderkey % 4 = 3 then {_FOLDER_SQL} || '/d' || o_orderkey || '.htm' else 'old' end as filing_url,
+  case when o_orderkey % 4 <> 3 then 'old' when o_orderkey % 3 = 0 then {_FOLDER_SQL} || '/d' || o_orderkey || '_htm.xml' end as xbrl_instance_url, (o_orderkey % 4 = 3)::int as enriched from t"""
+)
+def enrich_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    head = F.concat(F.lit("<SEC-HEADER>\nCONFORMED PERIOD OF REPORT:\t"), F.replace("filing_date", F.lit("-"), F.lit("")), F.lit("\n\tSEC ACT:\t\t34\n"), F.when(k % 2 == 1, F.concat(F.lit("\tSEC FILE NUMBER:\t001-"), k, F.lit("\n"))).otherwise(""), F.lit("</SEC-HEADER>\n<DOCUMENT>\n"))
+    body = F.concat(F.when(k % 4 == 3, F.concat(F.lit("<FILENAME>d"), k, F.lit(".htm\n"))).otherwise(""), F.when(k % 3 == 0, "<XBRL>").otherwise(""), F.lit("</DOCUMENT>"))
+    old = [F.lit("old").alias(c) for c in ("report_date", "act", "file_number", "filing_url", "xbrl_instance_url")]
+    rows = _filings(spark, sf_dir).select("accession_number", "cik", *old, F.lit("old.htm").alias("primary_document"), F.lit(None).cast("boolean").alias("is_xbrl"), F.lit(0).alias("enriched"), F.when(k % 4 != 0, F.concat(head, body)).alias("text"))
+    return submission.enriched(rows).drop("text")
+
+
+@_query(
+    """select o_orderkey, 'S' || (o_custkey % 50) as incorporation_code, o_custkey || ' Main St' as business_street_1, 'City ' || (o_custkey % 9) as business_city, 'Z' || (o_orderkey % 7) as business_state, case when o_orderkey % 2 = 1 then 'Mail ' || o_custkey end as mail_street_1, (1 + o_orderkey % 2)::int as n_filers from orders"""
+)
+def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    mail = F.when(k % 2 == 1, F.concat(F.lit("\nFILER:\n\tMAIL ADDRESS:\n\t\tSTREET 1:\t\tMail "), c, F.lit("\n"))).otherwise("")
+    text = F.concat(F.lit("<SEC-HEADER>\nFILER:\n\tSTATE OF INCORPORATION:\tS"), c % 50, F.lit("\n\tBUSINESS ADDRESS:\n\t\tSTREET 1:\t"), c, F.lit(" Main St\n\t\tCITY:\t\tCity "), c % 9, F.lit("\n\t\tSTATE:\t\tZ"), k % 7, F.lit("\n"), mail, F.lit("</SEC-HEADER>"))
+    return submission.header_fields(_table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))).select("o_orderkey", "incorporation_code", "business_street_1", "business_city", "business_state", "mail_street_1", "n_filers")
+
+
+# ---- facts
+
+_FACTS_SQL = """facts as (select l_orderkey as filing_key, l_linenumber as ordinal, 'C' || (l_partkey % 12) as concept, case when l_returnflag = 'N' then '' else 'axis:Flag=flag:' || l_returnflag || case when l_linestatus = 'F' then '; axis:Status=status:F' else '' end end as segment, l_returnflag <> 'N' as dimensioned, l_quantity as value_num, year(l_shipdate)::varchar as period from lineitem)"""
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem")
+    flag = F.create_map(F.lit("axis:Flag"), F.concat(F.lit("flag:"), "l_returnflag"))
+    both = F.map_concat(F.create_map(F.lit("axis:Status"), F.concat(F.lit("status:"), "l_linestatus")), flag)
+    dims = F.when(F.col("l_returnflag") == "N", F.create_map().cast("map<string,string>")).when(F.col("l_linestatus") == "F", both).otherwise(flag)
+    return li.select(F.col("l_orderkey").alias("filing_key"), F.col("l_linenumber").alias("ordinal"), F.concat(F.lit("C"), F.col("l_partkey") % 12).alias("concept"), dims.alias("dimensions"), F.col("l_quantity").alias("value_num"), F.year("l_shipdate").cast("string").alias("period")).withColumn("is_dimensioned", F.size("dimensions") > 0)
+
+
+@_query(f"with {_FACTS_SQL} select filing_key, ordinal, segment from facts")
+def segment_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _facts(spark, sf_dir).select("filing_key", "ordinal", tx.segment_string(F.col("dimensions")).alias("segment"))
+
+
+@_query("select l_orderkey as filing_key, l_linenumber as ordinal, l_quantity as value_num, strftime(o_orderdate, '%Y-%m-%d') as period, case when o_orderkey is not null then 'status=' || o_orderstatus else '' end as segment, o_orderkey is not null as is_dimensioned from lineitem left join (select * from orders where o_orderkey % 4 <> 0) on l_orderkey = o_orderkey")
+def facts_context_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("filing_key"), F.lit("c").alias("context_ref"), F.col("l_linenumber").alias("ordinal"), F.col("l_quantity").alias("value_num"))
+    contexts = _table(spark, sf_dir, "orders").where("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("filing_key"), F.lit("c").alias("context_ref"), _day("o_orderdate").alias("period"), F.create_map(F.lit("status"), "o_orderstatus").alias("dimensions"))
+    return facts.with_contexts(rows, contexts).select("filing_key", "ordinal", "value_num", "period", "segment", "is_dimensioned")
+
+
+_YEARS = [str(y) for y in range(1992, 2003)]
+
+
+@_query("with " + _FACTS_SQL + " select concept, " + ", ".join(f"arg_min(value_num, filing_key * 10 + ordinal) filter (period = '{y}') as \"{y}\"" for y in _YEARS) + " from facts where not dimensioned group by concept")
+def pivot_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _facts(spark, sf_dir).withColumn("ordinal", F.col("filing_key") * 10 + F.col("ordinal"))
+    return facts.pivot_concepts(rows, _YEARS)
+
+
+#: Line numbers repeat within an order, so an ordinal holds more.
+_ORDINAL_SQL = "l_linenumber::bigint * 1000000000 + l_partkey * 1000 + l_quantity::bigint"
+
+
+def _ordinal() -> Column:
+    return F.col("l_linenumber").cast("bigint") * 1000000000 + F.col("l_partkey") * 1000 + F.col("l_quantity").cast("bigint")
+
+
+_DEI_SQL = f"""dei as (select l_orderkey as filing_key, {_ORDINAL_SQL} as ordinal, case l_linenumber when 1 then 'EntityRegistrantName' when 2 then 'EntityIncorporationStateCountryCode' when 3 then 'CityAreaCode' when 4 then 'LocalPhoneNumber' else 'DocumentType' end as concept,
+  case when l_returnflag = 'A' then null else l_partkey::varchar end as value from lineitem where l_linestatus = 'O')"""
+
+
+@_query(f"""with {_DEI_SQL}, p as (select filing_key, {', '.join(f"arg_min(value, ordinal) filter (concept = '{c}' and value is not null) as {n}" for n, c in (('registrant_name', 'EntityRegistrantName'), ('incorporation_state', 'EntityIncorporationStateCountryCode'), ('phone_area_code', 'CityAreaCode'), ('phone_local', 'LocalPhoneNumber'), ('document_type', 'DocumentType')))} from dei group by filing_key)
+select *, phone_area_code || '-' || phone_local as phone from p""")
+def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.create_map(*[x for i, c in enumerate(("EntityRegistrantName", "EntityIncorporationStateCountryCode", "CityAreaCode", "LocalPhoneNumber"), 1) for x in (F.lit(i), F.lit(c))])
+    li = _table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
+    rows = li.select(F.col("l_orderkey").alias("filing_key"), _ordinal().alias("ordinal"), F.coalesce(F.try_element_at(names, F.col("l_linenumber")), F.lit("DocumentType")).alias("concept"), F.when(F.col("l_returnflag") != "A", F.col("l_partkey").cast("string")).alias("value"), F.lit("x/dei/2024").alias("namespace"), F.lit(False).alias("is_dimensioned"))
+    return facts.entity_facts(rows).select("filing_key", "registrant_name", "incorporation_state", "phone_area_code", "phone_local", "document_type", "phone")
+
+
+@_query(f"""with s as (select l_orderkey as filing_key, 'us-gaap:' || case l_suppkey % 3 when 0 then 'CommonClassAMember' when 1 then 'CommonClassBMember' else 'PreferredStockMember' end as member, {_ORDINAL_SQL} as ordinal, l_partkey::varchar as symbol, l_linenumber = 1 as total, l_quantity from lineitem),
+m as (select filing_key, member, arg_min(symbol, ordinal) as trading_symbol from s where not total group by 1, 2), t as (select filing_key, arg_min(l_quantity, ordinal) as undim from s where total group by 1),
+a as (select filing_key, member, trading_symbol, undim, count_if(member like '%Common%') over (partition by filing_key) as n from m left join t using (filing_key)),
+o as (select filing_key, member, replace(replace(member, 'us-gaap:', ''), 'Member', '') as security_class, trading_symbol, case when n = 1 and member like '%Common%' then undim end as shares_outstanding from a)
+select * from o union all select filing_key, null, 'CommonStock', null, undim from t where filing_key not in (select filing_key from o)""")
+def security_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as listed securities: the first of an order is the company's share total."""
+    li, first = _table(spark, sf_dir, "lineitem"), F.col("l_linenumber") == 1
+    member = F.when(F.col("l_suppkey") % 3 == 0, "us-gaap:CommonClassAMember").when(F.col("l_suppkey") % 3 == 1, "us-gaap:CommonClassBMember").otherwise("us-gaap:PreferredStockMember")
+    dims = F.when(first, F.create_map().cast("map<string,string>")).otherwise(F.create_map(F.lit(facts.CLASS_AXES[0]), member))
+    rows = li.select(F.col("l_orderkey").alias("filing_key"), _ordinal().alias("ordinal"), F.when(first, facts.SHARES).otherwise("TradingSymbol").alias("concept"), F.when(first, F.col("l_quantity").cast("string")).otherwise(F.col("l_partkey").cast("string")).alias("value"), dims.alias("dimensions"), F.lit("x/dei/2024").alias("namespace"))
+    return facts.security_facts(rows).select("filing_key", "member", "security_class", "trading_symbol", "shares_outstanding")
+
+
+@_query("select p_partkey, case when lower(p_name || ' ' || p_type) similar to '.*(note|debenture|bond).*' then 'debt' when lower(p_name || ' ' || p_type) like '%warrant%' then 'warrant' when regexp_matches(lower(p_name || ' ' || p_type), 'stock|class|ordinary|share|preferred|depositary|capital|unit') then 'equity' else 'other' end as security_type, case when lower(p_type) like '%standard%' then null else null end::varchar as class_label from part")
+def security_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "part").select("p_partkey", tx.security_type(F.col("p_name"), F.col("p_type")).alias("security_type"), tx.class_label(F.col("p_type")).alias("class_label"))
+
+
+@_query("select event_id, try_cast(replace(trim(' ' || case when event_id % 5 = 0 then 'x' else '' end || round(value, 2) || ' '), ',', '') as double) as number from events")
+def to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit(" "), F.when(F.col("event_id") % 5 == 0, "x").otherwise(""), F.round("value", 2).cast("string"), F.lit(" "))
+    return _table(spark, sf_dir, "events").select("event_id", tx.to_float(raw).alias("number"))
+
+
+@_query(r"select doc_id, nullif(trim(regexp_replace(text, '[\s\x0B\x{85}\p{Z}]+', ' ', 'g'), ' '), '') as cleaned from (select doc_id, regexp_replace(text, '\p{Cf}', '', 'g') as text from documents)")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
+
+
+# ---- submissions and text
+
+_CLEAN_SQL = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '>\s+<', '> <', 'g'), '[ \t\r\f\v]{2,}', ' ', 'g')"
+
+
+@_query(f"select page_id, {_CLEAN_SQL} as clean from pages")
+def html_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", tx.html_clean(F.col("html")).alias("clean"))
+
+
+def _text_sql(c: str) -> str:
+    c = rf"regexp_replace(regexp_replace({c}, '(?is)<style\b.*?</style\s*>|<script\b.*?</script\s*>|<!--.*?-->', '', 'g'), '(?i)<br\s*/?>|</(?:p|div|tr|li|h[1-6]|td|th|section|article|ul|ol|table|thead|tbody|caption|blockquote|figcaption)\s*>', chr(10), 'g')"
+    c = f"regexp_replace({c}, '<[^>]*>', '', 'g')"
+    for code, char in tx.ENTITIES:
+        c = f"replace({c}, '{code}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return rf"array_to_string(list_filter(list_transform(string_split({c}, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\x{{a0}}]+', ' ', 'g'), ' ')), lambda x: x <> ''), chr(10))"
+
+
+@_query(f"select page_id, {_text_sql('html')} as text from pages")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", tx.html_text(F.col("html")).alias("text"))
+
+
+@_query("""with d as (select conv_id, turn, role, trim(text, ' ' || chr(9) || chr(10) || chr(13)) as body, row_number() over (partition by conv_id order by turn, role, text) - 1 as pos from conversations)
+select conv_id, pos::int as pos, turn::varchar as seq, case when role = 'assistant' then 'EX-' || turn else '10-K' end as type, 'd' || turn || '.htm' as filename, body from d""")
+def submission_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).select("conv_id", "pos", "seq", "type", "filename", "body")
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _table(spark, sf_dir, "conversations")
+    kind = F.when(F.col("role") == "assistant", F.concat(F.lit("EX-"), "turn")).otherwise("10-K")
+    block = F.concat(F.lit("<DOCUMENT>\n<TYPE>"), kind, F.lit("\n<SEQUENCE>"), "turn", F.lit("\n<FILENAME>d"), "turn", F.lit(".htm\n<TEXT>\n"), "text", F.lit("\n</TEXT>\n</DOCUMENT>\n"))
+    whole = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text", block.alias("b")))), lambda x: x["b"]), "").alias("text"))
+    return submission.documents(whole, keys=["conv_id"])
+
+
+@_query("""with d as (select conv_id, turn, role, text, row_number() over (partition by conv_id order by case when role = 'assistant' then 2 else 1 end, case when role = 'assistant' then 0 else turn end, turn, role, text) as n from conversations)
+select conv_id, 'd' || turn || '.htm' as filename from d where n = 1""")
+def primary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return submission.primary(_split(spark, sf_dir), ["conv_id"]).select("conv_id", "filename")
+
+
+_SENTENCES_SQL = r"""rows as (select doc_id, list_filter(list_transform(string_split(regexp_replace(replace(text, chr(10), chr(1)), '([.!?;])\s+([A-Z("''“])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: trim(x, ' ')), lambda x: x <> '') as s from documents),
+sentence as (select doc_id, unnest(s) as statement, unnest(range(0, len(s)))::int as pos from rows)"""
+
+
+@_query(f"with {_SENTENCES_SQL} select * from sentence")
+def sentence_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return submission.sentence_rows(_table(spark, sf_dir, "documents"), keys=["doc_id"])
+
+
+#: The documents are invented prose, so common function words take the place of the vocabulary.
+_Q, _S, _P = ["und", "les", "para", "and"], {"assets": ["the", "der"], "revenue": ["la"], "operations": ["of", "le"]}, ["Ing", "tion", "ch", "a"]
+
+
+def _nested(first: str, rest: list[str]) -> str:
+    return " ".join([first, *rest])
+
+
+@_query(
+    f"""with {_SENTENCES_SQL}, f as (select doc_id, pos, statement, lower(statement) as low from sentence where len(statement) <= 500),
+q as (select *, list_filter([{_quoted(_Q)}], lambda x: contains(low, x))[1] as quantifier, case {' '.join(rf"when regexp_matches(low, '(^|[^0-9a-z_À-ɏ]){w}($|[^0-9a-z_À-ɏ])') then '{k}:{w}'" for k, v in _S.items() for w in v)} end as s from f),
+g as (select *, list_filter([{_quoted(_P)}], lambda x: contains(low, lower(x))) as g from q where quantifier is not null and s is not null),
+n as (select *, row_number() over (partition by doc_id, trim(regexp_replace(low, '\\s+', ' ', 'g'), ' ') order by pos) as n from g where len(g) > 0)
+select doc_id, pos, split_part(s, ':', 1) as category, quantifier, split_part(s, ':', 2) as subject, array_to_string(g, ', ') as geographies, statement from n where n = 1"""
+)
+def statement_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return submission.statements(_table(spark, sf_dir, "documents"), keys=["doc_id"], quantifiers=_Q, subjects=_S, places=_P)
+
+
+_WORDS = {"short": ["the", "le", "der"], "long": ["tion", "ment"], "rare": ["copyright", "license"]}
+
+
+@_query("select doc_id, " + " || '|' || ".join(f"array_to_string(list_filter([{_quoted(v)}], lambda w: contains(lower(text), w)), ',')" for v in _WORDS.values()) + " as hits from documents")
+def category_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tx.matched_categories(F.col("text"), _WORDS)
+    each = [F.array_join(F.coalesce(F.try_element_at(found, F.lit(k)), F.array().cast("array<string>")), ",") for k in _WORDS]
+    return _table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("|", *each).alias("hits"))
+
+
+@_query("""with r as (select o_custkey as cik, o_orderkey, o_orderstatus, (o_totalprice * 100)::bigint as price, row_number() over (partition by o_custkey order by o_orderkey) as n, count(*) over (partition by o_custkey) as m from orders)
+select cik, 0::int as table_index, 'revenue' as categories, 'Net sales of ' || cik as caption, (max(m) + 1)::int as n_rows, 2::int as n_cols, '["order","revenue"]' || string_agg('["' || o_orderkey || '","' || price || '"]', '' order by n) as cells from r group by cik""")
+def table_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a customer as an HTML table, and its grid again."""
+    row = F.concat(F.lit("<tr><td>"), "o_orderkey", F.lit("</td><td rowspan=1>"), (F.col("o_totalprice") * 100).cast("decimal(20,0)").cast("string"), F.lit("</td><td> </td></tr>"))
+    page = F.concat(F.lit("<h2>Net sales of "), F.col("cik"), F.lit("</h2><table><tr><th>order<th>revenue</th><th></tr>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("r")))), lambda x: x["r"]), ""), F.lit("</table>"))
+    pages = _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "cik").groupBy("cik").agg(page.alias("html"))
+    flat = F.array_join(F.transform("cells", lambda r: F.concat(F.lit('["'), F.array_join(r, '","'), F.lit('"]'))), "")
+    return submission.tables(pages, key="cik").select("cik", "table_index", F.array_join("categories", ",").alias("categories"), "caption", "n_rows", "n_cols", flat.alias("cells"))
+
+
+# ---- countries
+
+def _values(rows: list[tuple]) -> str:
+    quote = lambda v: "null" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in rows)
+
+
+_CODES_SQL = f"codes(code, name, kind, country) as (values {_values(data.codes())})"
+
+
+@_query(f"with {_CODES_SQL}, c as (select c_custkey, case when c_custkey % 17 = 0 then '' when c_custkey % 2 = 0 then upper(left(c_mktsegment, 2)) else chr((65 + c_custkey % 26)::int) || (c_custkey % 10) end as code from customer) select c_custkey, coalesce(kind, case when c.code = '' then 'missing' else 'unknown' end) as kind, name, country from c left join codes on c.code = codes.code")
+def code_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    code = F.when(k % 17 == 0, "").when(k % 2 == 0, F.upper(F.left("c_mktsegment", F.lit(2)))).otherwise(F.concat(F.chr(65 + k % 26), k % 10))
+    rows = _table(spark, sf_dir, "customer").select("c_custkey", F.lower(code).alias("code"))
+    return country.decoded(rows, "code", "").select("c_custkey", "kind", "name", "country")
+
+
+@_query(f"""with places(n, c, rank) as (values {_values(data.place_names())}), t as (select distinct n_name || ' and ' || r_name as text, regexp_replace(lower(n_name || ' and ' || r_name), '[^a-z ]', ' ', 'g') as plain from nation, region)
+select text, arg_min(c, rank) as country from t left join places on contains(' ' || plain || ' ', ' ' || n || ' ') group by text""")
+def text_to_country_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _table(spark, sf_dir, "nation").crossJoin(_table(spark, sf_dir, "region"))  # 25 x 5 rows
+    return country.text_to_country(pairs.select(F.concat("n_name", F.lit(" and "), "r_name").alias("text")), "text", "country")
+
+
+_US = ["DE", "CA", "NV", "", "NY"]
+
+
+@_query(
+    f"""with {_CODES_SQL}, r as (select c_custkey, [{_quoted(_US)}][(c_custkey % 5 + 1)::int] as xc, [{_quoted(_US)}][(c_custkey // 5 % 5 + 1)::int] as hc, [null, 'Delaware', 'State of Nevada', 'Canada'][(c_custkey % 4 + 1)::int] as t from customer),
+n as (select r.*, lower(coalesce(x.name, '')) as xn, lower(coalesce(h.name, '')) as hn, case t when 'State of Nevada' then 'nevada' else lower(coalesce(t, '')) end as tn from r left join codes x on xc = x.code left join codes h on hc = h.code),
+p as (select *, list_filter([xn, hn, tn], lambda v: v <> '') as present from n)
+select c_custkey, case when xc <> '' and hc <> '' and xc <> hc then 'mismatch' when xn <> '' and tn <> '' and xn <> tn and xc <> hc then 'mismatch' when len(present) = 0 then 'unknown' when xc <> '' and xc = hc then 'agree' when len(present) = 1 then 'unconfirmed' when len(list_distinct(present)) = 1 then 'agree' else 'review' end as incorp_status from p"""
+)
+def incorporation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    us = F.array(*map(F.lit, _US))
+    texts = F.array(F.lit(None).cast("string"), F.lit("Delaware"), F.lit("State of Nevada"), F.lit("Canada"))
+    rows = _table(spark, sf_dir, "customer").select("c_custkey", F.get(us, (k % 5).cast("int")).alias("xbrl_incorp_code"), F.get(us, (F.floor(k / 5) % 5).cast("int")).alias("header_incorp_code"), F.get(texts, (k % 4).cast("int")).alias("text_incorp"))
+    return country.incorporation_check(rows).select("c_custkey", "incorp_status")
+
+
+@_query("""with j as (select c_custkey, c.n_name as xc, s.n_name as hc, c_custkey % 10 = 0 as dual, c.n_regionkey as xr, s.n_regionkey as hr from customer join nation c on c_nationkey = c.n_nationkey left join supplier on s_suppkey = c_custkey left join nation s on s_nationkey = s.n_nationkey),
+l as (select *, regexp_replace(lower(coalesce(xc, '')), '[^a-z0-9]', '', 'g') as a, regexp_replace(lower(coalesce(hc, '')), '[^a-z0-9]', '', 'g') as b from j)
+select c_custkey, case when dual then 'dual_hq' when (a <> '' and b <> '' and not contains(a, b) and not contains(b, a)) or coalesce(xr <> hr, false) then 'mismatch' when a <> '' or b <> '' then 'agree' else 'unknown' end as address_status from l""")
+def address_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = _table(spark, sf_dir, "nation")
+    x = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("xbrl_city"), F.col("n_regionkey").alias("xbrl_country"))
+    h = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("header_city"), F.col("n_regionkey").alias("header_country"))
+    s = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_nationkey")
+    rows = _table(spark, sf_dir, "customer").join(x, "c_nationkey").join(s, "c_custkey", "left").join(h, "s_nationkey", "left").withColumn("dual_hq", F.col("c_custkey") % 10 == 0)
+    return country.address_check(rows).select("c_custkey", "address_status")
+
+
+@_query("""select c_custkey, case when c_custkey % 3 = 0 then 'Delaware' else 'Cayman Islands' end as incorporation_text, case when c_custkey % 2 = 0 then 'Dublin, Ireland | Boston, United States' else 'Dublin, Ireland' end as addresses, c_custkey % 2 = 0 as dual_hq,
+  case when c_custkey % 2 = 0 then 'addresses in multiple countries: Ireland, United States' end as dual_hq_evidence from customer""")
+def dual_hq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    text = F.concat_ws("\n", F.lit("FORM 10-K"), F.concat(F.lit("Company "), k), F.when(k % 3 == 0, "Delaware").otherwise("Cayman Islands"), F.lit("(State of incorporation)"), F.lit("12-3456789"), F.lit("Dublin, Ireland"), F.when(k % 2 == 0, "Boston, United States"), F.lit("(Zip Code)"), F.lit("Securities registered pursuant to Section 12(b)"), F.lit("Paris, France"))
+    return country.cover(_table(spark, sf_dir, "customer").select("c_custkey", text.alias("text")), "text", "c_custkey").select("c_custkey", "incorporation_text", F.array_join("addresses", " | ").alias("addresses"), "dual_hq", "dual_hq_evidence")
+
+
+@_query("""with o as (select c_custkey as cik, c_mktsegment as status, c_nationkey::varchar as hq_country, c_name || ' St.' as hq_address from customer where c_custkey % 10 <> 1),
+n as (select c_custkey as cik, case when c_custkey % 6 = 0 then 'MOVED' else c_mktsegment end as status, case when c_custkey % 4 = 0 then null else c_nationkey::varchar end as hq_country, case when c_custkey % 9 = 0 then 'elsewhere' else upper(c_name) || ' st' end as hq_address from customer where c_custkey % 10 <> 2)
+select coalesce(o.cik, n.cik) as cik, case when o.cik is null then 'added' else 'removed' end as change_type, '' as field, null::varchar as old_value, null::varchar as new_value from o full join n on o.cik = n.cik where o.cik is null or n.cik is null
+union all select o.cik, 'changed', 'status', o.status, n.status from o join n on o.cik = n.cik where o.status <> n.status
+union all select o.cik, 'changed', 'hq_country', nullif(o.hq_country, ''), n.hq_country from o join n on o.cik = n.cik where coalesce(o.hq_country, '') <> coalesce(n.hq_country, '')
+union all select o.cik, 'changed', 'hq_address', o.hq_address, n.hq_address from o join n on o.cik = n.cik where n.hq_address = 'elsewhere'""")
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c = F.col("c_custkey"), _table(spark, sf_dir, "customer")
+    old = c.where(k % 10 != 1).select(k.alias("cik"), F.col("c_mktsegment").alias("status"), F.col("c_nationkey").cast("string").alias("hq_country"), F.concat("c_name", F.lit(" St.")).alias("hq_address"))
+    new = c.where(k % 10 != 2).select(k.alias("cik"), F.when(k % 6 == 0, "MOVED").otherwise(F.col("c_mktsegment")).alias("status"), F.when(k % 4 != 0, F.col("c_nationkey").cast("string")).alias("hq_country"), F.when(k % 9 == 0, "elsewhere").otherwise(F.concat(F.upper("c_name"), F.lit(" st"))).alias("hq_address"))
+    return country.snapshot_diff(old, new, "cik", ("status", "hq_country"), ("hq_address",))
+
+
+# ---- derived facts
+
+@_query(f"""with ranges(a, z, industry_code, sector_hint) as (values {_values(data.sic_ranges())}), p as (select p_partkey, (p_partkey * 7 + p_size * 131) % 9000 as sic from part),
+b as (select p_partkey, sic, arg_min(industry_code, z - a) as industry_code, arg_min(sector_hint, z - a) as sector_hint from p left join ranges on sic between a and z group by 1, 2) select p_partkey, sic::varchar as sic, industry_code, sector_hint from b""")
+def sic_range_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "part").select("p_partkey", ((F.col("p_partkey") * 7 + F.col("p_size") * 131) % 9000).cast("string").alias("sic"))
+    return derived.sic_prior(rows).select("p_partkey", "sic", "industry_code", "sector_hint")
+
+
+@_query(f"with t(ic, i, sc, s, ec, e, uc, u) as (values {_values(data.industries())}) select ic as industry_code, count(distinct sc) as supersectors, count(distinct ec) as sectors, count(distinct uc) as subsectors, count(distinct p_partkey) as companies from t left join part on p_partkey % 11 = ic::int // 5 - 2 group by ic")
+def taxonomy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = data.industry_table(spark).groupBy("industry_code").agg(F.count_distinct("supersector_code").alias("supersectors"), F.count_distinct("sector_code").alias("sectors"), F.count_distinct("subsector_code").alias("subsectors"))
+    parts = _table(spark, sf_dir, "part").groupBy(((F.col("p_partkey") % 11 + 2) * 5).cast("string").alias("industry_code")).agg(F.count_distinct("p_partkey").alias("companies"))
+    return t.join(parts, "industry_code", "left").withColumn("companies", F.coalesce("companies", F.lit(0)))
+
+
+_COUNTS = [("two (2)", 2.0), ("one-half of one", 0.5), ("25", 25.0), ("three-quarters", 0.75), ("1/10", 0.1), ("twenty-five (25)", 25.0), ("several", None)]
+
+
+@_query(f"with q(i, phrase, n) as (values {', '.join(f'''({i}, '{p}', {'null' if n is None else n}::double)''' for i, (p, n) in enumerate(_COUNTS))}) select p_partkey, n as quantity, case when n is null then 'low' else 'high' end as confidence from part join q on p_partkey % {len(_COUNTS)} = i")
+def adr_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as depositary securities whose titles state a ratio."""
+    phrase = F.get(F.array(*[F.lit(p) for p, _ in _COUNTS]), (F.col("p_partkey") % len(_COUNTS)).cast("int"))
+    rows = _table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("American Depositary Shares, each representing "), phrase, F.lit(" ordinary shares")).alias("security_title"), F.lit(None).cast("string").alias("security_class"))
+    return derived.adr_ratios(rows).select("p_partkey", F.col("shares_per_ads").alias("quantity"), "confidence")
+
+
+@_query("select c_custkey as cik, 'Class ' || x.c as class_label, case when x.c = 'A' then 1.0 else (2 + c_custkey % 8)::double end as votes_per_share, 'high' as confidence from customer, (values ('A'), ('B')) x(c)")
+def voting_rights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.array(*map(F.lit, ("two", "three", "four", "five", "six", "seven", "eight", "nine")))
+    text = F.concat(F.lit("Our Class B common stock has "), F.get(words, (F.col("c_custkey") % 8).cast("int")), F.lit(" votes per share and our Class A common stock has one vote per share."))
+    rows = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.lit(0).alias("source_rank"), text.alias("text"))
+    return derived.voting_rights(rows).select("cik", "class_label", "votes_per_share", "confidence")
+
+
+_STORE_SQL = """old as (select doc_id, case when quality = 1 then 'approved' else 'rejected' end as status, quality || '' as payload from labels), res as (select doc_id, case when doc_id % 3 = 0 then 'x' else '1' end as payload from documents where doc_id % 5 <> 0),
+store as (select coalesce(old.doc_id, res.doc_id) as cik, coalesce(res.payload, old.payload) as payload, case when old.doc_id is null then 'pending' when res.doc_id is not null and res.payload <> old.payload then 'pending' else old.status end as status,
+  case when old.payload <> res.payload then 'superseded a result that was ' || old.status end as review_note, case when old.doc_id is null then 'now' else 'then' end as created_utc, case when old.doc_id is null or res.payload <> old.payload then 'now' else 'then' end as updated_utc from old full join res on old.doc_id = res.doc_id)"""
+
+
+def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = [F.lit("icb").alias("kind"), F.col("doc_id").alias("cik"), F.lit("a").alias("source_accession")]
+    old = _table(spark, sf_dir, "labels").select(*keys, F.col("quality").cast("string").alias("payload"), F.lit(None).cast("string").alias("edited"), F.when(F.col("quality") == 1, "approved").otherwise("rejected").alias("status"), F.lit(None).cast("string").alias("review_note"), F.lit("then").alias("created_utc"), F.lit("then").alias("updated_utc"))
+    new = _table(spark, sf_dir, "documents").where("doc_id % 5 <> 0").select(*keys, F.when(F.col("doc_id") % 3 == 0, "x").otherwise("1").alias("payload"))
+    return derived.saved(old, new, F.lit("now"))
+
+
+@_query(f"with {_STORE_SQL} select * from store")
+def research_store_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir).select("cik", "payload", "status", "review_note", "created_utc", "updated_utc")
+
+
+@_query(f"with {_STORE_SQL} select count(*) as n_facts, count(distinct cik) as n_companies, " + ", ".join(f"count(*) filter (status = '{s}') as n_{s}" for s in ("pending", "approved", "rejected", "edited")) + " from store")
+def review_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.review_stats(_store(spark, sf_dir))
+
+
+@_query("""with e as (select user_id, event_id as pos, case event_type when 'click' then 'high' when 'view' then 'medium' when 'error' then 'review' when 'purchase' then 'low' end as confidence, event_type as method from events where event_id % 11 = 0)
+select user_id, ['high', 'medium', 'low', 'review'][max(case confidence when 'high' then 1 when 'low' then 3 when 'review' then 4 else 2 end)] as confidence, array_to_string(list_sort(list_distinct(list(method))), '+') as methods, count(*) as n from e group by user_id""")
+def worst_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.create_map(*[F.lit(x) for x in ("click", "high", "view", "medium", "error", "review", "purchase", "low")])
+    e = _table(spark, sf_dir, "events").where("event_id % 11 = 0").select("user_id", F.col("event_id").alias("pos"), F.try_element_at(label, F.col("event_type")).alias("confidence"), F.col("event_type").alias("method"), F.col("event_id").cast("string").alias("evidence"))
+    return derived.combined(e, "user_id").withColumn("n", (F.regexp_count("evidence", F.lit("\n")) + 1).cast("bigint")).drop("evidence")
+
+
+# ---- idioms
+
+@_query("select event_type, count(*) as n from events group by 1 order by n desc, 1 limit 3")
+def freq_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limit is the feature."""
+    return idioms.most_common(_table(spark, sf_dir, "events"), "event_type", 3)
+
+
+@_query("with w as (select user_id, sum(value) over s as s, count(*) over s as n from events window s as (partition by user_id order by ts, event_id rows 4 preceding)) select user_id, round(max(s), 4) as best from w where n = 5 group by user_id")
+def sliding_window_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idioms.sliding_max(_table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "value", 5)
+
+
+@_query("with s as (select user_id, list_sort(list_distinct(list(event_type))) as a from events where event_id % 40 = 0 group by 1) select user_id, array_to_string(a, ',') as own, array_to_string(list_filter(a, lambda x: x in ('click', 'view')), ',') as common, array_to_string(list_filter(a, lambda x: x not in ('click', 'view')), ',') as other, list_contains(a, 'error') as has_error from s")
+def array_set_math(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = F.array(F.lit("click"), F.lit("view"))
+    s = _table(spark, sf_dir, "events").where("event_id % 40 = 0").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("a"))
+    return s.select("user_id", F.array_join("a", ",").alias("own"), F.array_join(F.array_intersect("a", known), ",").alias("common"), F.array_join(F.array_except("a", known), ",").alias("other"), F.array_contains("a", "error").alias("has_error"))
+
+
+@_query("select o_orderkey, o_orderkey::varchar = reverse(o_orderkey::varchar) as is_palindrome from orders")
+def palindrome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select("o_orderkey", idioms.is_palindrome(F.col("o_orderkey").cast("string")).alias("is_palindrome"))
+
+
+@_query("select a.n_regionkey, a.n_name as a, b.n_name as b from nation a join nation b on a.n_regionkey = b.n_regionkey and a.n_name < b.n_name")
+def combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idioms.combinations(_table(spark, sf_dir, "nation"), "n_regionkey", "n_name")
+
 
+@_query("select event_type, count(*) as n from events group by event_type")
+def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of files, counted by type; equals the batch."""
+    from filigree.streaming.incremental import stream_counts
 
-QUERIES["filing_manifest"] = filing_manifest
+    return stream_counts(spark, f"{sf_dir}/events.parquet", _table(spark, sf_dir, "events").schema, ["event_type"])
