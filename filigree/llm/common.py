@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -15,6 +16,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _allocator() -> ctypes.CDLL | None:
+    """Glibc, told to give large arrays back to the system when they are freed, so that an idle Python worker is a small one."""
+    library = ctypes.CDLL(None)
+    if not (hasattr(library, "mallopt") and hasattr(library, "malloc_trim")):
+        return None
+    library.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+    return library
+
+
+_GLIBC = _allocator()
+
+
+def trim() -> None:
+    """Gives freed small blocks back to the system."""
+    if _GLIBC is not None:
+        _GLIBC.malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; where it is unset (tests) one of our own."""
     sc = spark.sparkContext
@@ -49,7 +69,7 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in gone])
 
 
-def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of bounded text size."""
     if not batch.num_rows:
         return
@@ -58,3 +78,4 @@ def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000) -> I
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         yield batch.slice(a, b - a)
+    trim()
