@@ -30,7 +30,9 @@ N, THRESHOLD = 3, 0.5
 HOT_POSTINGS, HOT_ROWS = 64, 1_000_000
 #: Rows up to which a table of ids is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
-_RANGE = 2_000_000  # postings of one range
+_RANGE = 1_000_000  # postings of one range
+_PACK = 3_000_000  # n-grams that are packed together
+_CELLS = 1_000_000  # postings by groups that are summed at a time
 _OPEN = 1_500_000  # n-grams of one side of an exact comparison
 _MASK = np.uint64(0xFFFFFFFF)
 
@@ -76,12 +78,21 @@ def _rest(tokens: np.ndarray, bits: int) -> np.ndarray:
 def frequent(slim: DataFrame, n: int, bits: int) -> np.ndarray:
     """Sorted leading bits + 32 bits of the most frequent n-grams; it orders n-grams and decides nothing else."""
 
+    def packed(grams: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.sort(np.concatenate(grams))
+        rows = [(r, _rest(every[s], bits).tobytes()) for r, s in _by_range(every, bits)]
+        return pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([t for _, t in rows], pa.binary())], names=["range", "tokens"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for whole in batches:
-            for batch in text_slices(whole, "text", 16_000_000):
-                grams = np.sort(batch_ngrams(batch.column("text").to_pylist(), n)[0])
-                rows = [(r, _rest(grams[s], bits).tobytes()) for r, s in _by_range(grams, bits)]
-                yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([t for _, t in rows], pa.binary())], names=["range", "tokens"])
+            for batch in text_slices(whole, "text"):
+                held.append(batch_ngrams(batch.column("text").to_pylist(), n)[0])
+                if sum(map(len, held)) > _PACK:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
 
     def reduce(table: pa.Table) -> pa.Table:
         tokens = np.sort(np.concatenate([np.frombuffer(t, dtype=np.uint32) for t in table["tokens"].to_pylist()]))
@@ -149,15 +160,16 @@ def matches(tokens: np.ndarray, sig: np.ndarray, group: np.ndarray, size: np.nda
     first_cell = np.concatenate(([0], np.cumsum(per_run)))[:-1]
     work = np.cumsum(counts * per_run)
     found: list[tuple[np.ndarray, ...]] = []
+    waiting, summed = 0, 0
     lo = 0
     begin = np.concatenate(([0], np.cumsum(counts)))
     while lo < len(counts):
         done = work[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(work, done + 3_000_000, side="right")))
+        hi = max(lo + 1, int(np.searchsorted(work, done + _CELLS, side="right")))
         m = member[begin[lo] : begin[hi]]
         r = run[begin[lo] : begin[hi]]
         # a run of very many members is cut too
-        for a in range(0, len(m), step := max(1, int(3_000_000 // max(1, per_run[lo:hi].max())))):
+        for a in range(0, len(m), step := max(1, int(_CELLS // max(1, per_run[lo:hi].max())))):
             mm, rr = m[a : a + step], r[a : a + step]
             times = per_run[rr]
             query = np.repeat(mm, times)
@@ -165,9 +177,11 @@ def matches(tokens: np.ndarray, sig: np.ndarray, group: np.ndarray, size: np.nda
             cell = np.repeat(first_cell[rr] - (ends - times), times) + np.arange(ends[-1])
             near = (top[cell] > query) & (high[cell] >= threshold * size_of[query] - 1e-9) & (low[cell] * threshold <= size_of[query] + 1e-9)
             query, cell = query[near], cell[near]
-            found.append(_summed((query << 32) | cell_group[cells[cell]], np.ones(len(query), dtype=np.int64), low[cell], high[cell]))
-            if len(found) > 8:
+            found.append(_summed((query << 32) | cell_group[cells[cell]], np.ones(len(query), dtype=np.int32), low[cell].astype(np.int32), high[cell].astype(np.int32)))
+            waiting += len(found[-1][0])
+            if waiting > summed + _CELLS:
                 found = [_summed(*(np.concatenate(x) for x in zip(*found)))]
+                waiting, summed = 0, len(found[0][0])
         lo = hi
     key, count, smallest, largest = _summed(*(np.concatenate(x) for x in zip(*found)))
     q, g = key >> 32, key & 0xFFFFFFFF
@@ -203,19 +217,29 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
     bits = min(20, max(4, math.ceil(math.log2(max(1.0, total / _RANGE)))))
     hot = spark.sparkContext.broadcast(frequent(slim, n, bits))
 
+    def packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        shift = np.cumsum([0, *(len(h[2]) for h in held)])
+        tokens, which = np.concatenate([h[0] for h in held]), np.concatenate([h[1] + x for h, x in zip(held, shift)])
+        sig, group, size = (np.concatenate([h[k] for h in held]) for k in (2, 3, 4))
+        order = np.argsort(tokens, kind="stable")
+        tokens, which = tokens[order], which[order]
+        rows = []
+        for r, s in _by_range(tokens, bits):
+            used, local = np.unique(which[s], return_inverse=True)
+            rows.append((r, _rest(tokens[s], bits).tobytes(), local.astype(np.uint32).tobytes(), sig[used].tobytes(), group[used].tobytes(), size[used].astype(np.uint32).tobytes()))
+        columns = list(zip(*rows)) or [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["range", "tokens", "which", "sig", "grp", "size"])
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for whole in batches:
-            for batch in text_slices(whole, "text", 16_000_000):
-                tokens, which, sig, group, size = _prefixes(batch.column("text").to_pylist(), n, threshold, bits, hot.value)
-                order = np.argsort(tokens, kind="stable")
-                tokens, which = tokens[order], which[order]
-                rows = []
-                for r, s in _by_range(tokens, bits):
-                    used, local = np.unique(which[s], return_inverse=True)
-                    rows.append((r, _rest(tokens[s], bits).tobytes(), local.astype(np.uint32).tobytes(), sig[used].tobytes(), group[used].tobytes(), size[used].astype(np.uint32).tobytes()))
-                if rows:
-                    columns = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["range", "tokens", "which", "sig", "grp", "size"])
+            for batch in text_slices(whole, "text"):
+                held.append(_prefixes(batch.column("text").to_pylist(), n, threshold, bits, hot.value))
+                if sum(len(h[0]) for h in held) > _PACK:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
 
     def match(table: pa.Table) -> pa.Table:
         def joined(name: str, kind: type) -> list[np.ndarray]:
