@@ -88,7 +88,7 @@ SPLIT_RE = r"""([.!?;])\s+([A-Z("'“])"""
 def sentences(c: Column) -> Column:
     """Array of the sentences: lines, cut after terminal punctuation before a capital, quote or bracket."""
     marked = F.regexp_replace(F.replace(c, F.lit("\n"), F.lit("\x01")), SPLIT_RE, "$1\x01$2")
-    return F.filter(F.transform(F.split(marked, "\x01"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, "\x01"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def matched_categories(c: Column, vocabulary: Mapping[str, Sequence[str]] | None = None) -> Column:

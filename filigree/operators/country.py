@@ -55,7 +55,7 @@ def canonical_country(c: Column) -> Column:
 
 def cover(df: DataFrame, text: str, key: str) -> DataFrame:
     """key, incorporation_text, addresses, countries, dual_hq and dual_hq_evidence of the first 8,000 characters of a cover text."""
-    lines = F.filter(F.transform(F.split(F.substring(F.col(text), 1, 8000), "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.substring(F.col(text), 1, 8000), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     rows = df.select(key, F.posexplode_outer(lines).alias("n", "line"))
     w = Window.partitionBy(key)
     rows = rows.withColumn("end_", F.coalesce(F.min(F.when(F.col("line").rlike(END_RE), F.col("n"))).over(w), F.lit(70))).where("n is null or n < end_")

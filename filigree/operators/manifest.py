@@ -39,9 +39,9 @@ def instance_url(cik: Column, accession: Column, document: Column, inline: Colum
 
 
 def parallel_rows(df: DataFrame, arrays: str, keys: Sequence[str]) -> DataFrame:
-    """One row an index of the struct's parallel arrays, short ones padded with null; pos counts from 0."""
-    fields = df.select(f"{arrays}.*").columns
-    zipped = F.arrays_zip(*[F.col(f"{arrays}.{f}").alias(f) for f in fields])
+    """One row an index of the struct's parallel arrays, short and absent ones padded with null; pos counts from 0."""
+    fields = df.select(f"{arrays}.*").schema
+    zipped = F.arrays_zip(*[F.coalesce(F.col(f"{arrays}.{f.name}"), F.array().cast(f.dataType)).alias(f.name) for f in fields])
     return df.select(*keys, F.posexplode(zipped).alias("pos", "row")).select(*keys, "pos", "row.*")
 
 
