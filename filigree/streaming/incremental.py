@@ -59,7 +59,12 @@ def stream_counts(spark: SparkSession, path: str, schema: StructType, keys: list
     def write(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out")
 
-    stream = spark.readStream.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
+    whole = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if whole.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(whole):  # a stream reads folders
+        stream = reader.option("pathGlobFilter", whole.getName()).parquet(whole.getParent().toString())
+    else:
+        stream = reader.parquet(path)
     query = stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(f"{base}/out")
