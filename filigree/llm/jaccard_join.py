@@ -1,8 +1,8 @@
 """N-gram Jaccard self-join by a token-group matrix.
 
 Documents of one n-gram set are one set with a list of copies.  Sets are
-partitioned into groups of similar ones: those whose first n-gram in one global
-order and whose size class agree.  The matrix, kept as postings by n-gram
+partitioned into groups of similar ones: those whose least n-gram by hash (of the
+frequent ones, where these are most of the set) and whose size class agree.  The matrix, kept as postings by n-gram
 range, has for each group the union of its members' prefix n-grams; the number
 that a query shares with the union bounds its overlap with every member, so
 only groups that can hold a partner are opened and compared exactly.
@@ -107,6 +107,32 @@ def frequent(slim: DataFrame, n: int, bits: int) -> np.ndarray:
     return np.sort(np.array([x for b in top.toArrow().to_batches() for x in b.column(0).to_numpy(zero_copy_only=False)], dtype=np.int64))
 
 
+def _least(grams: np.ndarray, late: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The n-gram of least hash of each set (sorted): of its frequent ones if these are half of the set at least, else of its others.
+
+    A set that is mostly of frequent n-grams is one of many copies, and these
+    n-grams are what the copies share; in others they are passages of unlike
+    documents.
+    """
+    if not len(begin):
+        return np.zeros(0, dtype=np.uint64)
+    many = 2 * np.add.reduceat(late.astype(np.int64), begin) >= sizes
+    good = late == np.repeat(many, sizes)
+    return grams[np.minimum.reduceat(np.where(good, np.arange(len(grams)), len(grams)), begin)]
+
+
+def _short(grams: np.ndarray) -> bytes:
+    """The upper 48 bits of n-gram hashes, six bytes each."""
+    return (grams >> np.uint64(GRAM_BITS - 48)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), dtype=np.uint8)
+    out[:, :6] = raw
+    return out.reshape(-1).view("<u8")
+
+
 def _prefixes(texts: list[str], n: int, threshold: float, bits: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     """(prefix tokens, set index of each, sig, group, size) of the distinct sets of a batch."""
     grams, offsets = batch_ngrams(texts, n)
@@ -119,15 +145,17 @@ def _prefixes(texts: list[str], n: int, threshold: float, bits: int, hot: np.nda
     lead = (grams >> np.uint64(GRAM_BITS - bits - 32)).astype(np.int64)
     at = np.searchsorted(hot, lead)
     late = (hot[np.minimum(at, len(hot) - 1)] == lead) if len(hot) else np.zeros(len(lead), dtype=bool)
+    first_sorted = np.sort(first)
+    begin = np.searchsorted(doc, first_sorted)
+    home = _least(grams, late, begin, sizes[first_sorted])
     order = np.argsort((doc << 1) | late, kind="stable")  # frequent ones last, else by hash
     grams, doc = grams[order], doc[order]
-    begin = np.searchsorted(doc, first_sorted := np.sort(first))
     place = np.arange(len(doc)) - np.repeat(begin, sizes[first_sorted])
     length = sizes[first_sorted] - np.ceil(threshold * sizes[first_sorted] - 1e-9).astype(np.int64) + 1
     index = np.repeat(np.arange(len(first_sorted)), sizes[first_sorted])
     keep = place < length[index]
-    band = np.floor(np.log(sizes[first_sorted]) / math.log(1.2)).astype(np.uint64)
-    group = mix64(grams[begin] * np.uint64(64) + band).view(np.int64) if len(begin) else np.zeros(0, dtype=np.int64)
+    band = np.floor(np.log2(sizes[first_sorted])).astype(np.uint64)
+    group = mix64(home * np.uint64(64) + band).view(np.int64)
     return grams[keep], index[keep], sigs[first_sorted], group, sizes[first_sorted]
 
 
@@ -271,7 +299,7 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
             for batch in text_slices(whole, "text"):
                 grams, offsets = batch_ngrams(batch.column("text").to_pylist(), n)
                 good = pa.array(_signatures(grams, offsets) == batch.column("q").to_numpy())  # ids may repeat with other texts
-                packed = [grams[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                packed = [_short(grams[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("routes"), pa.array(packed, pa.binary())], names=["q", "routes", "grams"]).filter(good)
 
     needed = slim.join(F.broadcast(routes) if rows <= BROADCAST_ROWS else routes, "doc_id").select("q", "routes", "text")
@@ -283,7 +311,7 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
         grams = table["grams"]
         members = list({int(s): i for i, s in enumerate(sig) if role[i] == 1}.items())
         queries = list({int(s): i for i, s in enumerate(sig) if role[i] == 0}.items())
-        held = [np.frombuffer(grams[i].as_buffer(), dtype=np.uint64) for _, i in members]
+        held = [_long(grams[i].as_buffer()) for _, i in members]
         sizes = np.array([len(h) for h in held], dtype=np.int64)
         names = np.array([s for s, _ in members], dtype=np.int64)
         out: list[tuple[np.ndarray, ...]] = []
@@ -292,7 +320,7 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
             order = np.argsort(token, kind="stable")
             token, owner = token[order], owner[order]
             for s, i in queries:
-                query = np.frombuffer(grams[i].as_buffer(), dtype=np.uint64)
+                query = _long(grams[i].as_buffer())
                 lo, hi = np.searchsorted(token, query), np.searchsorted(token, query, side="right")
                 times = hi - lo
                 ends = np.cumsum(times)
