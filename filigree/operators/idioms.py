@@ -27,3 +27,14 @@ def combinations(df: DataFrame, group: str, item: str) -> DataFrame:
     """Unordered pairs of distinct items of a group."""
     a, b = df.select(group, F.col(item).alias("a")).distinct(), df.select(group, F.col(item).alias("b")).distinct()
     return a.join(b, group).where("a < b")
+
+
+def carried(df: DataFrame, group: str, order: list[str], value: Column, out: str) -> DataFrame:
+    """df with the last non-null value so far, in order, of each group: section markers carried down to their lines."""
+    return df.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("n_", F.row_number().over(w)).where("n_ = 1").drop("n_")

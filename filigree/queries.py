@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from filigree import data
 from filigree.functions import text as tx
 from filigree.operators import country, derived, facts, idioms, ledger, manifest, submission
+from filigree.plans import filing
 from filigree.sources import landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -584,6 +585,21 @@ def combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idioms.combinations(_table(spark, sf_dir, "nation"), "n_regionkey", "n_name")
 
 
+@_query("select event_id, last_value(case when event_type = 'signup' then props end ignore nulls) over (partition by user_id order by ts, event_id rows unbounded preceding) as section from events")
+def section_carry_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idioms.carried(_table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.when(F.col("event_type") == "signup", F.col("props")), "section").select("event_id", "section")
+
+
+@_query("select user_id, event_type, min(event_id) as event_id from events group by all")
+def code_dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idioms.first_of(_table(spark, sf_dir, "events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"], ["event_id"])
+
+
+@_query(f"with {_TRANSITIONS_SQL} select least(strftime(max(idx_date) filter (status in ('parsed', 'empty'))::date + 1, '%Y-%m-%d'), coalesce(min(idx_date) filter (status in ('available', 'failed')), '9999')) as start from ledger")
+def ingest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filing.start_date(_ledger(spark, sf_dir))
+
+
 @_query("select event_type, count(*) as n from events group by event_type")
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of files, counted by type; equals the batch."""
