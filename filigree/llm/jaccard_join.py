@@ -2,10 +2,11 @@
 
 Documents of one n-gram set are one set with a list of copies.  Sets are
 partitioned into groups of similar ones: those whose least n-gram by hash (of the
-frequent ones, where these are most of the set) and whose size class agree.  The matrix, kept as postings by n-gram
-range, has for each group the union of its members' prefix n-grams; the number
-that a query shares with the union bounds its overlap with every member, so
-only groups that can hold a partner are opened and compared exactly.
+frequent ones, where these are most of the set) and whose size class agree.
+The matrix, kept as postings by n-gram range, has for each group the union of
+its members' prefix n-grams; the number that a query shares with the union
+bounds its overlap with every member, so only groups that can hold a partner
+are opened and compared exactly.
 
 The global order puts the most frequent n-grams last, which keeps passages that
 many documents share out of the prefixes.  Any order gives the same result.
@@ -29,8 +30,8 @@ N, THRESHOLD = 3, 0.5
 #: N-grams with more postings than this are put last, of the most frequent ones up to HOT_ROWS.
 HOT_POSTINGS, HOT_ROWS = 64, 1_000_000
 #: Rows up to which a table of ids is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
-_RANGE = 1_000_000  # postings of one range
+BROADCAST_ROWS = 1_000_000
+_RANGE = 4_000_000  # n-grams of one range, of which about half have postings
 _PACK = 3_000_000  # n-grams that are packed together
 _CELLS = 1_000_000  # postings by groups that are summed at a time
 _OPEN = 1_500_000  # n-grams of one side of an exact comparison
@@ -159,11 +160,11 @@ def _prefixes(texts: list[str], n: int, threshold: float, bits: int, hot: np.nda
     return grams[keep], index[keep], sigs[first_sorted], group, sizes[first_sorted]
 
 
-def matches(tokens: np.ndarray, sig: np.ndarray, group: np.ndarray, size: np.ndarray, which: np.ndarray, threshold: float) -> dict[str, np.ndarray]:
+def matches(tokens: np.ndarray, sig: np.ndarray, group: np.ndarray, size: np.ndarray, which: np.ndarray, home: np.ndarray, threshold: float) -> dict[str, np.ndarray]:
     """Of one range's postings: how many n-grams each query shares with each group's union.
 
-    Rows of own membership (count 0, own true) tell the groups of the sets that
-    share any n-gram.  A pair of sets is looked for from the one of smaller sig.
+    Rows of own membership (count 0, own 1) tell the group of each set that is
+    at home in this range.  A pair of sets is looked for from the one of smaller sig.
     """
     sigs, where, inverse = np.unique(sig, return_index=True, return_inverse=True)
     groups, group_of = np.unique(group[where], return_inverse=True)
@@ -179,8 +180,9 @@ def matches(tokens: np.ndarray, sig: np.ndarray, group: np.ndarray, size: np.nda
     order = np.lexsort((group_of[member], run))
     cell_run, cell_group, cell_member = run[order], group_of[member[order]], member[order]
     cells = np.flatnonzero((np.diff(cell_run, prepend=-1) != 0) | (np.diff(cell_group, prepend=-1) != 0))
+    mine = np.unique(inverse[home])
     if not len(cells):
-        return {k: np.zeros(0, dtype=np.int64) for k in ("q", "g", "shared", "low", "high", "size", "own")}
+        return _cell_rows(sigs, groups, size_of, group_of, mine, *(np.zeros(0, dtype=np.int64),) * 4)
     low, high = np.minimum.reduceat(size_of[cell_member], cells), np.maximum.reduceat(size_of[cell_member], cells)
     top = np.maximum.reduceat(cell_member, cells)
     run_of_cell = cell_run[cells]
@@ -212,16 +214,19 @@ def matches(tokens: np.ndarray, sig: np.ndarray, group: np.ndarray, size: np.nda
                 waiting, summed = 0, len(found[0][0])
         lo = hi
     key, count, smallest, largest = _summed(*(np.concatenate(x) for x in zip(*found)))
+    return _cell_rows(sigs, groups, size_of, group_of, mine, key, count, smallest, largest)
+
+
+def _cell_rows(sigs: np.ndarray, groups: np.ndarray, size_of: np.ndarray, group_of: np.ndarray, mine: np.ndarray, key: np.ndarray, count: np.ndarray, low: np.ndarray, high: np.ndarray) -> dict[str, np.ndarray]:
     q, g = key >> 32, key & 0xFFFFFFFF
-    mine = np.unique(member)
     return {
         "q": np.concatenate((sigs[q], sigs[mine])),
         "g": np.concatenate((groups[g], groups[group_of[mine]])),
-        "shared": np.concatenate((count, np.zeros(len(mine), dtype=np.int64))),
-        "low": np.concatenate((smallest, size_of[mine])),
-        "high": np.concatenate((largest, size_of[mine])),
-        "size": np.concatenate((size_of[q], size_of[mine])),
-        "own": np.concatenate((np.zeros(len(q), dtype=np.int64), np.ones(len(mine), dtype=np.int64))),
+        "shared": np.concatenate((count, np.zeros(len(mine)))).astype(np.int32),
+        "low": np.concatenate((low, size_of[mine])).astype(np.int32),
+        "high": np.concatenate((high, size_of[mine])).astype(np.int32),
+        "size": np.concatenate((size_of[q], size_of[mine])).astype(np.int32),
+        "own": np.concatenate((np.zeros(len(q)), np.ones(len(mine)))).astype(np.int8),
     }
 
 
@@ -251,12 +256,14 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
         sig, group, size = (np.concatenate([h[k] for h in held]) for k in (2, 3, 4))
         order = np.argsort(tokens, kind="stable")
         tokens, which = tokens[order], which[order]
+        _, least = np.unique(which, return_index=True)  # of each set the first posting tells its group's membership
+        home = (tokens[least] >> np.uint64(GRAM_BITS - bits)).astype(np.int64)
         rows = []
         for r, s in _by_range(tokens, bits):
             used, local = np.unique(which[s], return_inverse=True)
-            rows.append((r, _rest(tokens[s], bits).tobytes(), local.astype(np.uint32).tobytes(), sig[used].tobytes(), group[used].tobytes(), size[used].astype(np.uint32).tobytes()))
-        columns = list(zip(*rows)) or [()] * 6
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["range", "tokens", "which", "sig", "grp", "size"])
+            rows.append((r, _rest(tokens[s], bits).tobytes(), local.astype(np.uint32).tobytes(), sig[used].tobytes(), group[used].tobytes(), size[used].astype(np.uint32).tobytes(), (home[used] == r).tobytes()))
+        columns = list(zip(*rows)) or [()] * 7
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["range", "tokens", "which", "sig", "grp", "size", "home"])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -276,9 +283,9 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
         sig = joined("sig", np.int64)
         shift = np.concatenate(([0], np.cumsum([len(x) for x in sig])))
         which = np.concatenate([w + s for w, s in zip((x.astype(np.int64) for x in joined("which", np.uint32)), shift)])
-        return pa.table(matches(np.concatenate(joined("tokens", np.uint32)), np.concatenate(sig), np.concatenate(joined("grp", np.int64)), np.concatenate(joined("size", np.uint32)), which, threshold))
+        return pa.table(matches(np.concatenate(joined("tokens", np.uint32)), np.concatenate(sig), np.concatenate(joined("grp", np.int64)), np.concatenate(joined("size", np.uint32)), which, np.concatenate(joined("home", bool)), threshold))
 
-    cells = slim.select("text").mapInArrow(post, "range int, tokens binary, which binary, sig binary, grp binary, size binary").groupBy("range").applyInArrow(match, "q long, g long, shared long, low long, high long, size long, own long")
+    cells = slim.select("text").mapInArrow(post, "range int, tokens binary, which binary, sig binary, grp binary, size binary, home binary").groupBy("range").applyInArrow(match, "q long, g long, shared int, low int, high int, size int, own byte")
     cells = stored(cells.groupBy("q", "g").agg(F.sum("shared").alias("shared"), F.min(F.when(F.col("own") == 0, F.col("low"))).alias("low"), F.max(F.when(F.col("own") == 0, F.col("high"))).alias("high"), F.max("size").alias("size"), F.max("own").alias("own")), "jaccard-cells")
     t, size = threshold, F.col("size")
     lowest, highest = F.greatest(F.col("low"), size * t), F.least(F.col("high"), size / t)
@@ -289,9 +296,10 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
     parts = inside.groupBy("g").agg(F.ceil(F.sum("size") / _OPEN).alias("member_parts")).join(wanted, "g")
     part = lambda count: F.pmod(F.xxhash64("q"), F.col(count)).cast("int")
     spread = lambda count: F.explode(F.sequence(F.lit(0), (F.col(count) - 1).cast("int")))
-    asks = opened.join(parts, "g").withColumn("x", part("query_parts")).withColumn("y", spread("member_parts")).select("q", "g", "x", "y", F.lit(0).alias("role"))
-    holds = inside.join(parts, "g").withColumn("y", part("member_parts")).withColumn("x", spread("query_parts")).select("q", "g", "x", "y", F.lit(1).alias("role"))
-    routes = stored(asks.unionByName(holds).groupBy("q").agg(F.collect_list(F.struct("g", "x", "y", "role")).alias("routes")).join(sets.select(F.col("sig").alias("q"), F.col("doc_a").alias("doc_id")), "q"), "jaccard-routes")
+    asks = opened.join(parts, "g").withColumn("x", part("query_parts")).withColumn("y", spread("member_parts")).select("q", "g", "x", "y", F.lit(1).alias("role"))
+    holds = inside.join(parts, "g").withColumn("y", part("member_parts")).withColumn("x", spread("query_parts")).select("q", "g", "x", "y", F.lit(2).alias("role"))
+    once = asks.unionByName(holds).groupBy("q", "g", "x", "y").agg(F.bit_or("role").alias("role"))  # 1 asks, 2 is held
+    routes = stored(once.groupBy("q").agg(F.collect_list(F.struct("g", "x", "y", "role")).alias("routes")).join(sets.select(F.col("sig").alias("q"), F.col("doc_a").alias("doc_id")), "q"), "jaccard-routes")
     rows = routes.agg(F.sum(F.size("routes"))).head()[0] or 0
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,8 +317,8 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
         role = table["role"].to_numpy()
         sig = table["q"].to_numpy()
         grams = table["grams"]
-        members = list({int(s): i for i, s in enumerate(sig) if role[i] == 1}.items())
-        queries = list({int(s): i for i, s in enumerate(sig) if role[i] == 0}.items())
+        members = list({int(s): i for i, s in enumerate(sig) if role[i] & 2}.items())
+        queries = list({int(s): i for i, s in enumerate(sig) if role[i] & 1}.items())
         held = [_long(grams[i].as_buffer()) for _, i in members]
         sizes = np.array([len(h) for h in held], dtype=np.int64)
         names = np.array([s for s, _ in members], dtype=np.int64)
