@@ -27,6 +27,8 @@ from filigree.llm.common import stored, text_slices
 from filigree.llm.hashing import GRAM_BITS, WORD_RE, batch_ngrams, mix64
 
 N, THRESHOLD = 3, 0.5
+#: Prefixes are longer by this share of a set than a match needs, so a single shared n-gram opens few groups.
+EXTRA = 0.06
 #: N-grams with more postings than this are put last, of the most frequent ones up to HOT_ROWS.
 HOT_POSTINGS, HOT_ROWS = 64, 1_000_000
 #: Rows up to which a table of ids is broadcast; beyond it the join shuffles.
@@ -152,7 +154,7 @@ def _prefixes(texts: list[str], n: int, threshold: float, bits: int, hot: np.nda
     order = np.argsort((doc << 1) | late, kind="stable")  # frequent ones last, else by hash
     grams, doc = grams[order], doc[order]
     place = np.arange(len(doc)) - np.repeat(begin, sizes[first_sorted])
-    length = sizes[first_sorted] - np.ceil(threshold * sizes[first_sorted] - 1e-9).astype(np.int64) + 1
+    length = sizes[first_sorted] - np.ceil((threshold - EXTRA) * sizes[first_sorted] - 1e-9).astype(np.int64) + 1
     index = np.repeat(np.arange(len(first_sorted)), sizes[first_sorted])
     keep = place < length[index]
     band = np.floor(np.log2(sizes[first_sorted])).astype(np.uint64)
@@ -289,7 +291,8 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
     cells = stored(cells.groupBy("q", "g").agg(F.sum("shared").alias("shared"), F.min(F.when(F.col("own") == 0, F.col("low"))).alias("low"), F.max(F.when(F.col("own") == 0, F.col("high"))).alias("high"), F.max("size").alias("size"), F.max("own").alias("own")), "jaccard-cells")
     t, size = threshold, F.col("size")
     lowest, highest = F.greatest(F.col("low"), size * t), F.least(F.col("high"), size / t)
-    least = F.least(*[(size + s) * (t / (1 + t)) - F.greatest(size, s) * t for s in (lowest, highest)])
+    # what two sets share beyond the prefixes lies in the suffix of one of them
+    least = F.least(*[(size + s) * (t / (1 + t)) - F.greatest(size, s) * (t - EXTRA) for s in (lowest, highest)])
     opened = cells.where((F.col("shared") > 0) & (F.col("shared") >= least - 1e-6))
     wanted = opened.groupBy("g").agg(F.ceil(F.sum("size") / _OPEN).alias("query_parts"))
     inside = cells.where("own = 1").join(wanted.select("g"), "g")
