@@ -30,7 +30,7 @@ N, THRESHOLD = 3, 0.5
 #: Prefixes are longer by this share of a set than a match needs, so a single shared n-gram opens few groups.
 EXTRA = 0.06
 #: N-grams with more postings than this are put last, of the most frequent ones up to HOT_ROWS.
-HOT_POSTINGS, HOT_ROWS = 64, 1_000_000
+HOT_POSTINGS, HOT_ROWS = 12, 2_000_000
 #: Rows up to which a table of ids is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 _RANGE = 4_000_000  # n-grams of one range, of which about half have postings
