@@ -48,7 +48,8 @@ def train(texts: list[str | None], labels: list[str], dims: int = 16, epochs: in
 
     Every 1/held_out-th text calibrates: the temperature is the one of least
     log loss, and the confidence bound rejects at most the share rejected of
-    those that are identified rightly.  Without texts the model rejects all.
+    those that are identified rightly, unless the floor, 1.5 times about an
+    even share, is higher.  Without texts the model rejects all.
     """
     languages = sorted(set(labels))
     size = len(GRAMS) << BITS
@@ -82,8 +83,8 @@ def train(texts: list[str | None], labels: list[str], dims: int = 16, epochs: in
     p = _softmax(margins / temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[held]]) if cut else np.zeros(0)
     floor = 1.5 / (len(languages) + 0.5)
-    least = float(min(right[int(len(right) * rejected)] * 0.9, 0.9)) if len(right) else floor
-    return Model(languages, scores, bias, temperature, min(least, max(floor, 0.4)))
+    least = max(floor, float(right[int(len(right) * rejected)])) if len(right) else floor
+    return Model(languages, scores, bias, temperature, least)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:

@@ -37,6 +37,17 @@ def test_language_odd_rows(spark):
     assert all(r["language"] == "en" for r in got if r["doc_id"] == 4)
 
 
+@pytest.mark.parametrize("left_out", sorted(STEMS))
+def test_language_not_trained_is_unknown(left_out):
+    rows = [r for r in labelled(1, 600) if r[2] != left_out]
+    model = language.train([r[1] for r in rows], [r[2] for r in rows])
+    held = labelled(2, 300)
+    found, _ = language.identify([r[1] for r in held], model)
+    unseen = [f for f, r in zip(found, held) if r[2] == left_out]
+    assert unseen.count(language.UNKNOWN) >= 0.9 * len(unseen)
+    assert sum(f == r[2] for f, r in zip(found, held)) >= 0.97 * (len(held) - len(unseen))
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "abc", None, None, 3)], DOCS)
     out = language.tag(docs, language.fit(docs)).collect()
