@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,13 +41,15 @@ def footrule(query: np.ndarray, places: np.ndarray) -> np.ndarray:
 def search(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX, posted: int = POSTED, probed: int = PROBED, reach: float = REACH) -> DataFrame:
     """vec_id, neighbor_id, rank and distance: about the k nearest others of every vector, ties by id.
 
-    Which rows take part is as in exact_search.top_k; dimensions that no pivot
-    has are left out.  Pivots are the vectors of the smallest hashed ids, so the
-    result doesn't depend on partitions.
+    Which rows take part is as in exact_search.top_k.  Every number of dimensions
+    has its own pivots, its vectors of the smallest hashed ids, so the result
+    doesn't depend on partitions.
     """
     spark = table.sparkSession
     rows = stored(vector_rows(table, vec_id, embedding), "permutation-vectors")
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
+    nearest = Window.partitionBy("d").orderBy(F.xxhash64("id"), "id")
+    ids = rows.select("id", "d").withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= pivots).select("id")
+    chosen = rows.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id").collect()  # up to pivots a number of dimensions
     held = spark.sparkContext.broadcast({d: np.array([r["v"] for r in chosen if r["d"] == d]) for d in {r["d"] for r in chosen}})
     kind = np.float32 if table.schema[embedding].dataType.elementType == T.FloatType() else np.float64  # as given, so exact
 
@@ -55,11 +57,10 @@ def search(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str
         for batch in batches:
             sizes = batch.column("d").to_numpy()
             for d in np.unique(sizes).tolist():
-                if d in held.value:
-                    mine = batch.filter(pa.array(sizes == d))
-                    x = np.array(mine.column("v").to_pylist())
-                    order = permutations(x, held.value[d], prefix)
-                    yield pa.RecordBatch.from_arrays([mine.column("id"), mine.column("d"), pa.array([v.tobytes() for v in x.astype(kind)], pa.binary()), pa.array([o.tobytes() for o in order], pa.binary()), pa.array(order[:, : max(posted, probed)].tolist(), pa.list_(pa.int32()))], names=["id", "d", "x", "order", "first"])
+                mine = batch.filter(pa.array(sizes == d))
+                x = np.array(mine.column("v").to_pylist())
+                order = permutations(x, held.value[d], prefix)
+                yield pa.RecordBatch.from_arrays([mine.column("id"), mine.column("d"), pa.array([v.tobytes() for v in x.astype(kind)], pa.binary()), pa.array([o.tobytes() for o in order], pa.binary()), pa.array(order[:, : max(posted, probed)].tolist(), pa.list_(pa.int32()))], names=["id", "d", "x", "order", "first"])
 
     index = stored(rows.mapInArrow(permute, "id long, d int, x binary, order binary, first array<int>"), "permutation-index")
     postings = index.select("id", "d", "x", "order", F.posexplode(F.slice("first", 1, posted)).alias("place", "pivot"))

@@ -72,3 +72,10 @@ def test_recall_of_the_permutation_index(spark):
         want = brute(rows, 10)
         got = found(permutation_index.search(table(spark, rows)))
         assert sum(len(set(want[i]) & set(got.get(i, []))) for i in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_rare_dimensions_have_pivots(spark):
+    rows = clusters(6, 1500) + [(5000 + i, v[:5]) for i, v in clusters(7, 12)]
+    got = found(permutation_index.search(table(spark, rows), 5))
+    want = brute(rows, 5)
+    assert {i: got.get(i) for i in want if i >= 5000} == {i: want[i] for i in want if i >= 5000}
