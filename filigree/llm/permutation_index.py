@@ -2,9 +2,10 @@
 
 A vector is represented by its nearest pivots in order of distance.  Each pivot
 has an inverted file of the vectors that have it among their first POSTED; a
-query opens the files of its own first PROBED pivots.  Candidates are ranked by
-the footrule distance of the permutations, those within REACH of the largest
-possible one are compared by exact distance, and the k nearest are the answer.
+query opens the files of its own first PROBED pivots.  Distances to all vectors
+of a file are computed; the footrule distance of the permutations orders nothing
+and is only a loose filter, which drops vectors beyond REACH of the largest
+possible one.  The k nearest of the rest are the answer.
 With a fixed number of pivots the share of the vectors that a query meets, and
 so its recall, is alike at every size; more pivots trade recall for work.
 """
