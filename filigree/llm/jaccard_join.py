@@ -11,6 +11,11 @@ are opened and compared exactly.
 The global order puts the most frequent n-grams last, which keeps passages that
 many documents share out of the prefixes.  Any order gives the same result.
 N-grams travel packed by range of their hash, and numpy does the work.
+
+Sets are told apart by 64-bit signatures and n-grams compared as 48-bit hashes;
+apart from collisions of these the join is exact.  What an opened group finds is
+counted and linked in its task, so that no pair is ever a row: a set comes out with
+the number of documents that it is linked with and a set that it hangs together with.
 """
 
 from __future__ import annotations
@@ -33,9 +38,11 @@ EXTRA = 0.06
 HOT_POSTINGS, HOT_ROWS = 12, 2_000_000
 #: Rows up to which a table of ids is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
-_RANGE = 4_000_000  # n-grams of one range, of which about half have postings
-_PACK = 3_000_000  # n-grams that are packed together
-_CELLS = 1_000_000  # postings by groups that are summed at a time
+#: A set of more than this share of all documents is joined by broadcast, so there are at most as many as its inverse.
+HOT_SHARE = 1e-3
+_RANGE = 2_000_000  # n-grams of one range, of which about half have postings
+_PACK = 1_500_000  # n-grams that are packed together
+_CELLS = 500_000  # postings by groups that are summed at a time
 _OPEN = 1_500_000  # n-grams of one side of an exact comparison
 _MASK = np.uint64(0xFFFFFFFF)
 
@@ -241,10 +248,13 @@ def _summed(key: np.ndarray, count: np.ndarray, low: np.ndarray, high: np.ndarra
     return key[at], np.add.reduceat(count[order], at), np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)
 
 
-def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """sig_a < sig_b, size_a, size_b and overlap of all pairs of distinct sets of at least the threshold.
+def set_links(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """sig, root and links of the sets that are at least threshold alike with another one, a row for each opened group.
 
-    sets: sig, size and doc_a, the smallest id of each set.
+    links counts the documents of the other sets that the group's comparison
+    finds alike, each pair of sets once in all rows; root is the least of the
+    sets that hang together with sig in it.  sets: sig, size, docs and doc_a,
+    the smallest id of each set.
     """
     spark = docs.sparkSession
     slim = _slim(docs, doc_id, text)
@@ -302,7 +312,7 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
     asks = opened.join(parts, "g").withColumn("x", part("query_parts")).withColumn("y", spread("member_parts")).select("q", "g", "x", "y", F.lit(1).alias("role"))
     holds = inside.join(parts, "g").withColumn("y", part("member_parts")).withColumn("x", spread("query_parts")).select("q", "g", "x", "y", F.lit(2).alias("role"))
     once = asks.unionByName(holds).groupBy("q", "g", "x", "y").agg(F.bit_or("role").alias("role"))  # 1 asks, 2 is held
-    routes = stored(once.groupBy("q").agg(F.collect_list(F.struct("g", "x", "y", "role")).alias("routes")).join(sets.select(F.col("sig").alias("q"), F.col("doc_a").alias("doc_id")), "q"), "jaccard-routes")
+    routes = stored(once.groupBy("q").agg(F.collect_list(F.struct("g", "x", "y", "role")).alias("routes")).join(sets.select(F.col("sig").alias("q"), F.col("doc_a").alias("doc_id"), "docs"), "q"), "jaccard-routes")
     rows = routes.agg(F.sum(F.size("routes"))).head()[0] or 0
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,117 +321,136 @@ def set_pairs(docs: DataFrame, sets: DataFrame, n: int, threshold: float, doc_id
                 grams, offsets = batch_ngrams(batch.column("text").to_pylist(), n)
                 good = pa.array(_signatures(grams, offsets) == batch.column("q").to_numpy())  # ids may repeat with other texts
                 packed = [_short(grams[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("routes"), pa.array(packed, pa.binary())], names=["q", "routes", "grams"]).filter(good)
+                yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("docs"), batch.column("routes"), pa.array(packed, pa.binary())], names=["q", "docs", "routes", "grams"]).filter(good)
 
-    needed = slim.join(F.broadcast(routes) if rows <= BROADCAST_ROWS else routes, "doc_id").select("q", "routes", "text")
-    sent = needed.mapInArrow(tokens, f"q long, routes {routes.schema['routes'].dataType.simpleString()}, grams binary").select("q", "grams", F.explode("routes").alias("r")).select("q", "grams", "r.*")
+    needed = slim.join(F.broadcast(routes) if rows <= BROADCAST_ROWS else routes, "doc_id").select("q", "docs", "routes", "text")
+    sent = needed.mapInArrow(tokens, f"q long, docs long, routes {routes.schema['routes'].dataType.simpleString()}, grams binary").select("q", "docs", "grams", F.explode("routes").alias("r")).select("q", "docs", "grams", "r.*")
 
     def compare(table: pa.Table) -> pa.Table:
         role = table["role"].to_numpy()
         sig = table["q"].to_numpy()
-        grams = table["grams"]
-        members = list({int(s): i for i, s in enumerate(sig) if role[i] & 2}.items())
-        queries = list({int(s): i for i, s in enumerate(sig) if role[i] & 1}.items())
-        held = [_long(grams[i].as_buffer()) for _, i in members]
-        sizes = np.array([len(h) for h in held], dtype=np.int64)
-        names = np.array([s for s, _ in members], dtype=np.int64)
-        out: list[tuple[np.ndarray, ...]] = []
-        if held and queries:
+        grams = table["grams"].combine_chunks()
+        order = np.argsort(sig, kind="stable")  # a set comes several times where the rows of its id do
+        starts = np.flatnonzero(np.concatenate(([True], np.diff(sig[order]) != 0)))
+        first = order[starts]
+        names, docs_of, role = sig[first], table["docs"].to_numpy()[first], np.bitwise_or.reduceat(role[order], starts)
+        members, queries = np.flatnonzero(role & 2), np.flatnonzero(role & 1)
+        links, parent = np.zeros(len(names), dtype=np.int64), np.arange(len(names))
+        if len(members) and len(queries):
+            held = [_long(grams[int(first[i])].as_buffer()) for i in members]
+            sizes = np.array([len(h) for h in held], dtype=np.int64)
             token, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+            del held
             order = np.argsort(token, kind="stable")
             token, owner = token[order], owner[order]
-            for s, i in queries:
-                query = _long(grams[i].as_buffer())
+            for i in queries.tolist():
+                query = _long(grams[int(first[i])].as_buffer())
                 lo, hi = np.searchsorted(token, query), np.searchsorted(token, query, side="right")
                 times = hi - lo
                 ends = np.cumsum(times)
                 hits = owner[np.repeat(lo - (ends - times), times) + np.arange(ends[-1])]
-                overlap = np.bincount(hits, minlength=len(held))
-                good = (names > s) & (overlap >= threshold * (sizes + len(query) - overlap) - 1e-9)
-                out.append((np.full(good.sum(), s, dtype=np.int64), names[good], np.full(good.sum(), len(query), dtype=np.int64), sizes[good], overlap[good].astype(np.int64)))
-        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, dtype=np.int64)] * 5
-        return pa.table(dict(zip(("sig_a", "sig_b", "size_a", "size_b", "overlap"), columns)))
-
-    return sent.groupBy("g", "x", "y").applyInArrow(compare, "sig_a long, sig_b long, size_a long, size_b long, overlap long")
-
-
-def _copies(docs: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
-    by_doc = stored(document_sets(docs, n, doc_id, text), "jaccard-documents")
-    return stored(by_doc.groupBy("sig").agg(F.max("size").alias("size"), F.array_sort(F.collect_set("doc_id")).alias("copies"), F.min("doc_id").alias("doc_a")), "jaccard-sets")
-
-
-def join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All pairs of documents whose sets of word n-grams have a Jaccard similarity of at least threshold.
-
-    A row holds two sets: copies_a and copies_b are the sorted ids of the
-    documents of either, doc_a < doc_b the smallest of each, size_a, size_b and
-    overlap count n-grams.  A set of several documents also has a row with
-    itself (doc_a = doc_b).  Words are lower-cased runs without ASCII
-    punctuation; a text of fewer than n words is one n-gram.  Documents without
-    words and rows without id match nothing; repeated rows of an id count once.
+                overlap = np.bincount(hits, minlength=len(sizes))
+                found = members[(members > i) & (overlap >= threshold * (sizes + len(query) - overlap) - 1e-9)]  # names are sorted
+                if len(found):
+                    links[i] += docs_of[found].sum()
+                    links[found] += docs_of[i]
+                    _unite(parent, np.append(found, i))
+        linked = np.flatnonzero(links)
+        return pa.table({"sig": pa.array(names[linked]), "root": pa.array(names[_roots(parent, linked)]), "links": pa.array(links[linked])})
+
+    return sent.groupBy("g", "x", "y").applyInArrow(compare, "sig long, root long, links long")
+
+
+def _roots(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The root of each node; the nodes are hung on it."""
+    up = parent[nodes]
+    while not np.array_equal(up, above := parent[up]):
+        up = above
+    parent[nodes] = up
+    return up
+
+
+def _unite(parent: np.ndarray, nodes: np.ndarray) -> None:
+    roots = _roots(parent, nodes)
+    parent[roots] = roots.min()
+
+
+def document_links(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, class_id and n_links of every document that is linked with another one, stored.
+
+    Two documents are linked if their sets of word n-grams have a Jaccard
+    similarity of at least threshold.  A class holds the documents that hang
+    together by links; class_id is its smallest doc_id.  n_links is the number
+    of other documents that a document is linked with, its exact copies
+    included.  A document without a link is a class of its own and has no row.
+
+    Words are lower-cased runs without ASCII punctuation; a text of fewer than n
+    words is one n-gram.  Documents without words (null, empty) and rows without
+    id have no row, an empty table gives an empty one.  Repeated rows of an id
+    count once; an id with several different texts counts as a document, and
+    has a row, for each of them.
     """
-    sets = _copies(docs, n, doc_id, text)
-    pairs = stored(set_pairs(docs, sets, n, threshold, doc_id, text), "jaccard-pairs")
-    names = sets.select("sig", "doc_a", "copies")
-    full = pairs.join(names.select(F.col("sig").alias("sig_a"), F.col("doc_a").alias("one"), F.col("copies").alias("copies_one")), "sig_a").join(names.select(F.col("sig").alias("sig_b"), F.col("doc_a").alias("two"), F.col("copies").alias("copies_two")), "sig_b")
-    ahead = F.col("one") < F.col("two")
-    pick = lambda a, b: F.when(ahead, F.col(a)).otherwise(F.col(b))
-    near = full.select(pick("one", "two").alias("doc_a"), pick("two", "one").alias("doc_b"), pick("copies_one", "copies_two").alias("copies_a"), pick("copies_two", "copies_one").alias("copies_b"), pick("size_a", "size_b").alias("size_a"), pick("size_b", "size_a").alias("size_b"), "overlap")
-    same = sets.where(F.size("copies") > 1).select("doc_a", F.col("doc_a").alias("doc_b"), F.col("copies").alias("copies_a"), F.col("copies").alias("copies_b"), F.col("size").alias("size_a"), F.col("size").alias("size_b"), F.col("size").alias("overlap"))
-    return near.unionByName(same).withColumn("jaccard", F.round(F.col("overlap") / (F.col("size_a") + F.col("size_b") - F.col("overlap")), 6))
-
-
-def duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and group of each document that shares a group with one of a smaller id.
-
-    A group is a connected component of the join; group is its smallest id.
-    """
-    sets = _copies(docs, n, doc_id, text)
-    pairs = stored(set_pairs(docs, sets, n, threshold, doc_id, text), "jaccard-pairs")
-    ids = sets.select("sig", "doc_a")
-    edges = pairs.select("sig_a", "sig_b").join(ids.select(F.col("sig").alias("sig_a"), F.col("doc_a").alias("u")), "sig_a").join(ids.select(F.col("sig").alias("sig_b"), F.col("doc_a").alias("v")), "sig_b").select("u", "v")
-    labels = components(edges)
-    named = sets.join(labels, sets["doc_a"] == labels["node"], "left").select(F.coalesce("root", "doc_a").alias("group"), F.explode("copies").alias("doc_id"))
-    return named.where("doc_id <> group")
+    by_doc = stored(document_sets(docs, n, doc_id, text).distinct(), "jaccard-documents")
+    sets = stored(by_doc.groupBy("sig").agg(F.max("size").alias("size"), F.count("*").alias("docs"), F.min("doc_id").alias("doc_a")), "jaccard-sets")
+    found = stored(set_links(docs, sets, n, threshold, doc_id, text), "jaccard-links")
+    stars = components(found.select(F.col("sig").alias("u"), F.col("root").alias("v")))
+    linked = found.groupBy("sig").agg(F.sum("links").alias("links")).join(stars.withColumnRenamed("node", "sig"), "sig", "left").select("sig", "links", F.coalesce("root", "sig").alias("root"))
+    known = stored(sets.join(linked, "sig", "left").where("docs > 1 or links > 0").select("sig", "doc_a", "docs", F.coalesce("root", "sig").alias("root"), (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "jaccard-known")
+    least = known.groupBy("root").agg(F.min("doc_a").alias("class_id"))
+    classes = stored(known.join(least, "root").select("sig", "docs", "class_id", "n_links"), "jaccard-classes")
+    if classes.count() <= BROADCAST_ROWS:
+        rows = by_doc.join(F.broadcast(classes), "sig")
+    else:
+        total = by_doc.count()
+        hot = F.col("docs") > HOT_SHARE * total
+        few, many = classes.where(hot), classes.where(~hot)
+        rows = by_doc.join(F.broadcast(few), "sig").unionByName(by_doc.join(F.broadcast(few.select("sig")), "sig", "left_anti").join(many, "sig"))
+    return stored(rows.select("doc_id", "class_id", "n_links"), "jaccard-rows")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node that it is connected with) of an edge table (u, v), by alternating large and small stars."""
     links = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
-    while True:
+    while not _are_stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.where("u <> v").distinct(), "components")
         first = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(first, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(first.select("u", F.col("m").alias("v"))).distinct()
-        small = stored(small, "components")
-        if not links.exceptAll(small).limit(1).count() and not small.exceptAll(links).limit(1).count():
-            break
-        links = small
+        links = stored(small, "components")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node either hangs on one root or is a root."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    return not ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs + holds > 1").limit(1).count()
+
+
 def unique(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs, all columns, without the documents that have a group mate of smaller id; rows without id stay."""
-    gone = stored(duplicates(docs, n, threshold, doc_id, text).select(F.col("doc_id").alias("__gone")), "jaccard-gone")
+    """docs, all columns, without the documents of a class (see document_links) but the one of smallest id.
+
+    Rows without id and documents without words stay; rows of one id stay or go together.
+    """
+    gone = document_links(docs, n, threshold, doc_id, text).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = stored(gone, "jaccard-gone")
     small = gone.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(gone) if small else gone, docs[doc_id] == gone["__gone"], "left_anti")
 
 
-def sets_sql(docs: str, n: int = N) -> str:
-    """CTEs ending in sets(doc_a, copies, size) and grams(doc_a, gram)."""
+def links_sql(docs: str = "documents", n: int = N, threshold: float = THRESHOLD) -> str:
+    """SQL of document_links()."""
     word = WORD_RE.replace("'", "''")
-    return f"""
+    return f"""with recursive
 worded as (select doc_id, regexp_extract_all(lower(text), '{word}') as w from {docs} where doc_id is not null and text is not null),
 gram_lists as (select doc_id, list_sort(list_distinct(case when len(w) < {n} then [array_to_string(w, ' ')]
   else list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' ')) end)) as g from worded where len(w) > 0),
-sets as (select min(doc_id) as doc_a, list_sort(list_distinct(list(doc_id))) as copies, len(any_value(g))::bigint as size, g as g_ from gram_lists group by g),
-grams as (select doc_a, unnest(g_) as gram from sets)"""
-
-
-def pairs_sql(threshold: float = THRESHOLD) -> str:
-    """CTE near(u, v, overlap) with u < v after sets_sql."""
-    return f"""
-shared as (select a.doc_a as u, b.doc_a as v, count(*)::bigint as overlap from grams a join grams b on a.gram = b.gram and a.doc_a < b.doc_a group by all),
-near as (select u, v, overlap from shared join sets a on a.doc_a = u join sets b on b.doc_a = v where overlap >= {threshold} * (a.size + b.size - overlap) - 1e-9)"""
+sets as materialized (select min(doc_id) as doc_a, list_distinct(list(doc_id)) as copies, len(any_value(g))::bigint as size, g as g_ from gram_lists group by g),
+grams as (select doc_a, unnest(g_) as gram from sets),
+shared as (select a.doc_a as u, b.doc_a as v, count(*)::bigint as overlap from grams a join grams b on a.gram = b.gram and a.doc_a <> b.doc_a group by all),
+near as materialized (select u, v, len(b.copies) as docs from shared join sets a on a.doc_a = u join sets b on b.doc_a = v where overlap >= {threshold} * (a.size + b.size - overlap) - 1e-9),
+reached as (select doc_a as node, doc_a as other from sets union select node, v from reached join near on other = u),
+roots as (select node, min(other) as class_id from reached group by node),
+counts as (select doc_a, len(copies) - 1 + coalesce((select sum(docs) from near where u = doc_a), 0) as n_links, copies from sets)
+select unnest(copies) as doc_id, class_id, n_links::bigint as n_links from counts join roots on node = doc_a where n_links > 0"""

@@ -49,14 +49,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of near copies among the documents, with the lists of their exact copies."""
-    return jaccard_join.join(table(spark, sf_dir, "documents"))
+    """doc_id, class_id and n_links of every document that is linked with another one."""
+    return jaccard_join.document_links(table(spark, sf_dir, "documents"))
 
 
-ORACLES["op3_jaccard_join"] = f"""with {jaccard_join.sets_sql("documents")}, {jaccard_join.pairs_sql()}
-select a.doc_a, b.doc_a as doc_b, a.copies as copies_a, b.copies as copies_b, a.size as size_a, b.size as size_b, overlap,
-  round(overlap / (a.size + b.size - overlap), 6) as jaccard from near join sets a on a.doc_a = near.u join sets b on b.doc_a = near.v
-union all select doc_a, doc_a, copies, copies, size, size, size, 1.0 from sets where len(copies) > 1"""
+ORACLES["op3_jaccard_join"] = jaccard_join.links_sql()
 
 
 @_query

@@ -6,25 +6,26 @@ from helpers import documents, gram_set
 
 
 def brute(rows, n, threshold):
-    sets = {}
-    for i, t in rows:
-        if i is not None and t and gram_set(t, n):
-            sets.setdefault(gram_set(t, n), set()).add(i)
-    sets = {s: sorted(ids) for s, ids in sets.items()}
-    out = {(c[0], c[0]): (tuple(c), tuple(c), len(s)) for s, c in sets.items() if len(c) > 1}
-    for (s, a), (t, b) in itertools.combinations(sets.items(), 2):
+    """(doc_id, class_id, n_links) of linked documents, sorted."""
+    docs = sorted({(i, gram_set(t, n)) for i, t in rows if i is not None and t and gram_set(t, n)}, key=lambda d: d[0])
+    links, parent = [0] * len(docs), list(range(len(docs)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, (_, s)), (b, (_, t)) in itertools.combinations(enumerate(docs), 2):
         if len(s & t) >= threshold * len(s | t) - 1e-9:
-            if a[0] > b[0]:
-                a, b = b, a
-            out[a[0], b[0]] = (tuple(a), tuple(b), len(s & t))
-    return out
+            links[a] += 1
+            links[b] += 1
+            lo, hi = sorted((root(a), root(b)))
+            parent[hi] = lo
+    return sorted((docs[k][0], docs[root(k)][0], links[k]) for k in range(len(docs)) if links[k])
 
 
 def found(spark, rows, n, threshold):
-    out = j.join(documents(spark, rows), n, threshold).collect()
-    pairs = {(r["doc_a"], r["doc_b"]): (tuple(r["copies_a"]), tuple(r["copies_b"]), r["overlap"]) for r in out}
-    assert len(pairs) == len(out)
-    return pairs
+    return sorted(tuple(r) for r in j.document_links(documents(spark, rows), n, threshold).collect())
 
 
 def near_rows(seed, count=150):
@@ -53,8 +54,10 @@ def test_hot_ngrams_and_cut_groups(spark, monkeypatch):
     monkeypatch.setattr(j, "HOT_POSTINGS", 3)
     monkeypatch.setattr(j, "_OPEN", 50)
     monkeypatch.setattr(j, "_RANGE", 100)
+    monkeypatch.setattr(j, "HOT_SHARE", 0.02)
     monkeypatch.setattr(j, "BROADCAST_ROWS", 1)
     rows = near_rows(4)
+    rows += [(1000 + i, rows[3][1]) for i in range(40)]
     assert found(spark, rows, 3, 0.5) == brute(rows, 3, 0.5)
 
 
@@ -65,29 +68,36 @@ def test_nulls_empties_ties_and_repeated_rows(spark):
     assert kept == {1, None, 2, 3, 4, 6, 8, 9}
 
 
+def test_an_id_of_several_texts(spark):
+    rows = [(1, "a b c d"), (1, "p q r s"), (2, "a b c d"), (3, "p q r s"), (3, "p q r s"), (4, "x y z")]
+    assert found(spark, rows, 3, 0.5) == brute(rows, 3, 0.5) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
+def test_very_long_text(spark):
+    rng = random.Random(9)
+    text = [rng.choice("abcdefgh") * rng.randrange(1, 6) for _ in range(150_000)]
+    rows = [(1, " ".join(text)), (2, " ".join(text[:140_000])), (3, " ".join(text[:20]))]
+    assert found(spark, rows, 3, 0.5) == brute(rows, 3, 0.5)
+
+
+def test_string_ids(spark):
+    docs = documents(spark, [(1, "a b c d"), (2, "a b c d"), (3, "x")]).selectExpr("concat('k', doc_id) as doc_id", "text")
+    assert sorted(tuple(r) for r in j.document_links(docs).collect()) == [("k1", "k1", 1), ("k2", "k1", 1)]
+
+
 def test_empty_table_and_extra_columns(spark):
-    assert j.join(documents(spark, [])).collect() == []
-    docs = documents(spark, [(1, "a b c d"), (2, "a b c d")]).selectExpr("*", "1 as sig", "2 as size", "3 as q", "4 as __gone2")
+    assert j.document_links(documents(spark, [])).collect() == []
+    docs = documents(spark, [(1, "a b c d"), (2, "a b c d")]).selectExpr("*", "1 as sig", "2 as size", "3 as q", "4 as __gone2", "5 as class_id", "6 as n_links")
     assert [r["doc_id"] for r in j.unique(docs).collect()] == [1]
     assert j.unique(docs).columns == docs.columns
+    assert sorted(tuple(r) for r in j.document_links(docs).collect()) == [(1, 1, 1), (2, 1, 1)]
 
 
-def test_duplicates_are_connected_components(spark):
+def test_unique_keeps_the_smallest_id_of_each_class(spark):
     rows = near_rows(7)
-    pairs = brute(rows, 3, 0.5)
-    parent = {i: i for i, _ in rows}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b, _ in pairs.values():
-        for x in (*a, *b):
-            lo, hi = sorted((root(a[0]), root(x)))
-            parent[hi] = lo
-    want = {i for i, t in rows if root(i) == i}
-    assert {r["doc_id"] for r in j.unique(documents(spark, rows)).collect()} == want
+    gone = {i for i, c, _ in brute(rows, 3, 0.5) if i != c}
+    assert gone
+    assert {r["doc_id"] for r in j.unique(documents(spark, rows)).collect()} == {i for i, _ in rows} - gone
 
 
 def test_long_chain_is_one_component(spark):
