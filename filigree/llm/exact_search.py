@@ -1,15 +1,20 @@
 """Exact top-k search by multi-resolution segment statistics.
 
 A vector is cut into 1, 2, 4 and 8 segments; from the means and deviations of
-the segments follows a lower bound of the distance of two vectors.  Vectors
-are packed in blocks of near ones.  A block is first searched in itself, which
-bounds the k-th distance of its vectors; pairs of blocks whose envelopes of
-statistics are farther apart than that are skipped.  In the pairs left the
-bounds are applied coarse to fine, and distances are computed for survivors.
+the segments follows a lower bound of the distance of two vectors.  Vectors lie
+sorted by cell, the nearest of guide vectors whose number grows with the table.
+The queries are a stated set, the rows of every fiftieth id; blocks of them of
+bounded size go to all executors, and each block passes over all vectors where
+they lie.  A first pass searches each query's own cell and so bounds its k-th
+distance.  A second pass skips, for a query, the runs of vectors whose envelope
+of statistics is farther away than that; in the rest the bounds are applied
+coarse to fine, and distances are computed for survivors.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +24,12 @@ from pyspark.sql import functions as F
 from filigree.llm.common import stored
 
 SEGMENTS = (1, 2, 4, 8)
-BLOCK = 4096
-CELLS = 64
+#: Queries are the rows whose id this divides.
+EVERY = 50
+#: Most cells; below it there are as many as the square root of the vectors.
+CELLS = 1024
+#: Bytes of vectors of a block of queries.
+QUERY_BYTES = 16_000_000
 _SLICE = 256
 
 
@@ -80,82 +89,136 @@ def nearest(q_ids: np.ndarray, q: np.ndarray, limit: np.ndarray, x_ids: np.ndarr
     return np.concatenate(rows), np.concatenate(ids), np.concatenate(distances)
 
 
-def top_k(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """vec_id, neighbor_id, rank and distance: the k nearest others of every vector, ties by id.
+def numbered(rows: DataFrame, most: int, least: int, root: float) -> dict[int, np.ndarray]:
+    """For every number of dimensions the vectors of smallest hashed ids: root times the square root of its vectors, at least least and at most most."""
+    wanted = {r["d"]: min(most, max(least, math.ceil(root * math.sqrt(r["count"])))) for r in rows.groupBy("d").count().collect()}
+    if not wanted:
+        return {}
+    take = F.create_map(*[F.lit(x) for pair in wanted.items() for x in pair])[F.col("d")]
+    nth = F.row_number().over(Window.partitionBy("d").orderBy("h", "id"))
+    ids = rows.select("id", "d", F.xxhash64("id").alias("h")).withColumn("n", nth).where(F.col("n") <= most).where(F.col("n") <= take).select("id")
+    chosen = rows.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id").collect()  # at most most rows a number of dimensions
+    return {d: np.array([r["v"] for r in chosen if r["d"] == d]) for d in wanted}
 
-    Only vectors of equal dimensions are compared, each with all others; where
-    there are fewer than k, fewer rows come.  Null ids, null or empty vectors
-    and vectors with null, NaN or infinite values take no part.  Rows of one id
-    count once, with the least vector.
+
+def query_blocks(rows: DataFrame, every: int) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The queries (ids, vectors) by number of dimensions, in blocks of about QUERY_BYTES."""
+    asked = rows.where(F.col("id") % every == 0)
+    volume = asked.agg(F.sum("d")).head()[0] or 0
+    blocks = max(1, math.ceil(8 * volume / QUERY_BYTES))
+    for block in range(blocks if volume else 0):
+        held = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).select("id", "d", "v").orderBy("id").collect()  # of bounded size
+        yield {d: (np.array([r["id"] for r in held if r["d"] == d], dtype=np.int64), np.array([r["v"] for r in held if r["d"] == d])) for d in sorted({r["d"] for r in held})}
+
+
+def matrix(column: pa.Array, d: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+
+
+class Best:
+    """The k nearest so far of each query, and the distance that the next ones have to reach."""
+
+    def __init__(self, limit: np.ndarray, k: int) -> None:
+        self.k, self.limit = k, limit.copy()
+        self.distance = np.full((len(limit), k), np.inf)
+        self.id = np.full((len(limit), k), np.iinfo(np.int64).max)
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, distances: np.ndarray) -> None:
+        """Rows ascend, with at most k of each."""
+        if not len(rows):
+            return
+        touched, first, index = np.unique(rows, return_index=True, return_inverse=True)
+        d, i = (np.full((len(touched), 2 * self.k), fill) for fill in (np.inf, np.iinfo(np.int64).max))
+        d[:, : self.k], i[:, : self.k] = self.distance[touched], self.id[touched]
+        place = self.k + np.arange(len(rows)) - first[index]
+        d[index, place], i[index, place] = distances, ids
+        order = np.lexsort((i, d), axis=1)[:, : self.k]
+        self.distance[touched], self.id[touched] = np.take_along_axis(d, order, axis=1), np.take_along_axis(i, order, axis=1)
+        self.limit[touched] = np.minimum(self.limit[touched], self.distance[touched, -1])
+
+    def rows(self, q_ids: np.ndarray) -> pa.RecordBatch:
+        q, n = np.nonzero(np.isfinite(self.distance))
+        return pa.RecordBatch.from_arrays([pa.array(q_ids[q]), pa.array(self.id[q, n]), pa.array(self.distance[q, n])], names=["id", "neighbor", "distance"])
+
+
+FOUND = "id long, neighbor long, distance double"
+
+
+def top_k(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", every: int = EVERY) -> DataFrame:
+    """vec_id, neighbor_id, rank and distance: the k nearest others of every vector whose id is divisible by every, ties by id.
+
+    Only vectors of equal dimensions are compared, a query with all others;
+    where there are fewer than k, fewer rows come, and none for a lone vector or
+    from an empty table.  Null ids, null or empty vectors and vectors with null,
+    NaN or infinite values take no part.  Rows of one id count once, with the
+    least vector.  Ids are integers.
     """
+    spark = table.sparkSession
     rows = stored(vector_rows(table, vec_id, embedding), "exact-vectors")
-    guides = [(r["d"], r["v"]) for r in rows.orderBy(F.xxhash64("id"), "id").limit(CELLS).collect()]
-    by_size = {d: np.array([v for e, v in guides if e == d]) for d in {d for d, _ in guides}}
+    guides = spark.sparkContext.broadcast(numbered(rows, CELLS, 1, 1.0))
 
-    def cell(batches):
+    def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("d").to_numpy()
+            home = np.zeros(len(sizes), dtype=np.int32)
+            for d in np.unique(sizes).tolist():
+                mine = np.flatnonzero(sizes == d)
+                home[mine] = squared(matrix(batch.column("v").take(pa.array(mine)), d), guides.value[d]).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home)], names=["id", "v", "d", "cell"])
+
+    celled = rows.mapInArrow(cell, "id long, v array<double>, d int, cell int")
+    celled = stored(celled.repartitionByRange("d", "cell", F.xxhash64("id")).sortWithinPartitions("d", "cell"), "exact-cells")
+    found = None
+    for block in query_blocks(rows, every):
+        homes = {d: squared(x, guides.value[d]).argmin(axis=1) for d, (_, x) in block.items()}
+        near = _passed(celled, block, homes, {d: np.full(len(x), np.inf) for d, (_, x) in block.items()}, k, True)
+        edge = {r["vec_id"]: r["distance"] for r in ranked(near, k, False).where(F.col("rank") == k).collect()}  # a row a query of the block
+        limits = {d: np.array([edge.get(i, np.inf) for i in ids.tolist()]) for d, (ids, _) in block.items()}
+        both = near.unionByName(_passed(celled, block, homes, limits, k, False))
+        found = both if found is None else found.unionByName(both)
+    return ranked(spark.createDataFrame([], FOUND) if found is None else found, k)
+
+
+def _passed(celled: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray]], homes: dict[int, np.ndarray], limits: dict[int, np.ndarray], k: int, own: bool) -> DataFrame:
+    """What the vectors of the queries' own cells, or of all others, have within the limits, stored."""
+    held = celled.sparkSession.sparkContext.broadcast((block, homes, limits))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, homes, limits = held.value
+        best = {d: Best(limit, k) for d, limit in limits.items()}
+        fine = {d: statistics(x, max(SEGMENTS)) for d, (_, x) in queries.items()}
         for batch in batches:
-            ids, sizes = batch.column("id").to_numpy(), batch.column("d").to_numpy()
-            home = np.zeros(len(ids), dtype=np.int64)
-            for d in np.unique(sizes):
-                if int(d) in by_size:
-                    mine = np.flatnonzero(sizes == d)
-                    x = np.array(batch.column("v").take(pa.array(mine)).to_pylist())
-                    home[mine] = squared(x, by_size[int(d)]).argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32))], names=["id", "v", "d", "cell"])
-
-    celled = stored(rows.mapInArrow(cell, "id long, v array<double>, d int, cell int"), "exact-cells")
-    # cells are numbered through in order of size class, then cut into blocks of about BLOCK vectors
-    sizes = celled.groupBy("d", "cell").count()
-    before = F.sum("count").over(Window.partitionBy("d").orderBy("cell")) - F.col("count")
-    starts = sizes.withColumn("before", before)
-    slot = F.floor((F.col("before") + F.pmod(F.xxhash64("id"), F.col("count"))) / BLOCK).cast("int")
-    blocked = celled.join(F.broadcast(starts), ["d", "cell"]).select("id", "v", "d", slot.alias("block"))  # at most CELLS rows a dimension
-    finest = max(SEGMENTS)
-
-    def pack(part: pa.Table) -> pa.Table:
-        ids = part["id"].to_numpy()
-        x = np.array(part["v"].to_pylist())
-        order = np.argsort(ids)
-        ids, x = ids[order], x[order]
-        q, n, d = nearest(ids, x, np.full(len(ids), np.inf), ids, x, k)
-        limit = np.full(len(ids), np.inf)
-        full = np.flatnonzero(np.bincount(q, minlength=len(ids)) >= k)
-        limit[full] = np.maximum.reduceat(d, np.searchsorted(q, np.arange(len(ids))).clip(max=max(0, len(q) - 1)))[full] if len(q) else np.inf
-        z = statistics(x, finest)
-        return pa.table({"d": part["d"].slice(0, 1), "block": part["block"].slice(0, 1), "ids": pa.array([ids.tobytes()], pa.binary()), "x": pa.array([x.tobytes()], pa.binary()), "limits": pa.array([limit.tobytes()], pa.binary()), "reach": pa.array([float(limit.max())]), "low": pa.array([z.min(axis=0).tolist()]), "high": pa.array([z.max(axis=0).tolist()]), "q": pa.array([ids[q].tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary()), "dist": pa.array([d.tobytes()], pa.binary())})
-
-    packed = stored(blocked.groupBy("d", "block").applyInArrow(pack, "d int, block int, ids binary, x binary, limits binary, reach double, low array<double>, high array<double>, q binary, n binary, dist binary"), "exact-blocks")
-    a, b = (packed.select("d", F.col("block").alias(s), *[F.col(c).alias(c + s) for c in ("reach", "low", "high")]) for s in ("_a", "_b"))
-    gap = F.aggregate(F.zip_with(F.zip_with("low_a", "high_b", lambda x, y: x - y), F.zip_with("low_b", "high_a", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x * x)
-    pairs = a.join(b, "d").where(F.col("_a") < F.col("_b")).where(F.sqrt(gap) <= F.greatest("reach_a", "reach_b") * (1 + 1e-9) + 1e-9).select("d", "_a", "_b")
-    sides = pairs.select("d", "_a", "_b", F.explode(F.array(F.col("_a"), F.col("_b"))).alias("block")).join(packed.select("d", "block", "ids", "x", "limits"), ["d", "block"])
-
-    def search(part: pa.Table) -> pa.Table:
-        side = [(np.frombuffer(r["ids"], dtype=np.int64), np.frombuffer(r["x"]).reshape(-1, r["d"]), np.frombuffer(r["limits"])) for r in part.to_pylist()]
-        out = []
-        for (q_ids, q, limit), (x_ids, x, _) in (side, side[::-1]):
-            rows, ids, distances = nearest(q_ids, q, limit, x_ids, x, k)
-            out.append((q_ids[rows], ids, distances))
-        return pa.table({n: np.concatenate(c) for n, c in zip(("id", "neighbor", "distance"), zip(*out))})
-
-    own = packed.select("q", "n", "dist").mapInArrow(_unpacked, "id long, neighbor long, distance double")
-    found = own.unionByName(sides.groupBy("d", "_a", "_b").applyInArrow(search, "id long, neighbor long, distance double"))
-    return ranked(found, k)
-
-
-def _unpacked(batches):
-    for batch in batches:
-        for q, n, d in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(q, dtype=np.int64)), pa.array(np.frombuffer(n, dtype=np.int64)), pa.array(np.frombuffer(d))], names=["id", "neighbor", "distance"])
-
-
-def ranked(found: DataFrame, k: int) -> DataFrame:
+            sizes, cells = batch.column("d").to_numpy(), batch.column("cell").to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], (np.diff(sizes) != 0) | (np.diff(cells) != 0)))) if len(sizes) else []
+            for a, b in zip(cuts, [*cuts[1:], len(sizes)]):
+                d = int(sizes[a])
+                if d not in queries:
+                    continue
+                q_ids, q = queries[d]
+                alive = np.flatnonzero((homes[d] == cells[a]) == own)
+                if not len(alive):
+                    continue
+                ids, x = batch.column("id").slice(a, b - a).to_numpy(), matrix(batch.column("v").slice(a, b - a), d)
+                if not own:
+                    z = statistics(x, max(SEGMENTS))
+                    gap = np.maximum(np.maximum(z.min(axis=0) - fine[d][alive], fine[d][alive] - z.max(axis=0)), 0)
+                    alive = alive[np.sqrt((gap * gap).sum(axis=1)) <= best[d].limit[alive] * (1 + 1e-9) + 1e-9]
+                row, near, distance = nearest(q_ids[alive], q[alive], best[d].limit[alive], ids, x, k)
+                best[d].add(alive[row], near, distance)
+        for d, (q_ids, _) in queries.items():
+            yield best[d].rows(q_ids)
+
+    return stored(celled.select("id", "v", "d", "cell").mapInArrow(scan, FOUND), "exact-found")
+
+
+def ranked(found: DataFrame, k: int, rounded: bool = True) -> DataFrame:
     """The k best of each id of rows (id, neighbor, distance)."""
     order = Window.partitionBy("id").orderBy("distance", "neighbor")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(F.col("id").alias("vec_id"), F.col("neighbor").alias("neighbor_id"), "rank", F.round("distance", 5).alias("distance"))
+    distance = F.round("distance", 5) if rounded else F.col("distance")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(F.col("id").alias("vec_id"), F.col("neighbor").alias("neighbor_id"), "rank", distance.alias("distance"))
 
 
-def top_k_sql(k: int = 10) -> str:
+def top_k_sql(k: int = 10, every: int = EVERY) -> str:
     return f"""with v as (select vec_id, embedding::double[] as e from embeddings where vec_id is not null and len(embedding) > 0),
-d as (select a.vec_id, b.vec_id as neighbor_id, list_distance(a.e, b.e) as x from v a join v b on a.vec_id <> b.vec_id)
+d as (select a.vec_id, b.vec_id as neighbor_id, list_distance(a.e, b.e) as x from v a join v b on a.vec_id <> b.vec_id where a.vec_id % {every} = 0)
 select vec_id, neighbor_id, rank::int as rank, round(x, 5) as distance from (select *, row_number() over (partition by vec_id order by x, neighbor_id) as rank from d) where rank <= {k}"""

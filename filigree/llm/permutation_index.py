@@ -1,111 +1,131 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by its nearest pivots in order of distance.  Each pivot
-has an inverted file of the vectors that have it among their first POSTED; a
-query opens the files of its own first PROBED pivots.  Distances to all vectors
-of a file are computed; the footrule distance of the permutations orders nothing
-and is only a loose filter, which drops vectors beyond REACH of the largest
-possible one.  The k nearest of the rest are the answer.
-With a fixed number of pivots the share of the vectors that a query meets, and
-so its recall, is alike at every size; more pivots trade recall for work.
+A vector is represented by its PREFIX nearest pivots in order of distance.  Each
+pivot has an inverted file of the vectors that have it among these, with its
+place in their order.  A query opens the files of its own pivots; from the
+places follows the footrule distance of its order to that of every vector, and
+the vectors are ranked by it.  Distances are computed only for the first of
+them, SHARE of all vectors (the first LEAST, where that is more), and the k
+nearest of these are the answer.
+
+The pivots are a bounded sample, the vectors of smallest hashed ids, and grow
+with the square root of the table up to PIVOTS, so that files stay short; every
+vector is posted.  The index is cut by hashed id into shards of bounded size,
+each with the inverted files of its own vectors, so that a file that a third of
+all vectors share is spread evenly too.  Blocks of queries of bounded size go to
+the shards.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from filigree.llm.common import stored
-from filigree.llm.exact_search import ranked, squared, vector_rows
+from filigree.llm.exact_search import EVERY, FOUND, Best, matrix, numbered, query_blocks, ranked, squared, vector_rows
 
-PIVOTS, PREFIX, POSTED, PROBED = 256, 32, 18, 18
-REACH = 0.97
-#: Vectors of one side of a part of an inverted file.
-_PART = 4096
+PIVOTS, FEWEST, PREFIX = 4096, 128, 64
+SHARE, LEAST = 0.25, 1000
+#: Bytes of vectors of one shard.
+SHARD_BYTES = 8_000_000
 
 
 def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """The nearest pivots of each vector in order, ties by number."""
-    return np.argsort(squared(x, pivots), axis=1, kind="stable")[:, :prefix].astype(np.uint16)
+    """The prefix nearest pivots of each vector in order, ties by number."""
+    parts = []
+    for at in range(0, len(x), 1024):
+        d = squared(x[at : at + 1024], pivots)
+        if prefix < d.shape[1]:
+            edge = np.partition(d, prefix - 1, axis=1)[:, prefix - 1 : prefix]
+            d[d > edge] = np.inf
+        parts.append(np.argsort(d, axis=1, kind="stable")[:, :prefix])
+    return np.concatenate(parts).astype(np.int32) if parts else np.zeros((0, min(prefix, len(pivots))), dtype=np.int32)
 
 
-def footrule(query: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Sum over the query's pivots of the difference of their places; places: pivots by vectors, the prefix length where a pivot is absent."""
-    return np.abs(places[query].astype(np.int16) - np.arange(len(query), dtype=np.int16)[:, None]).sum(axis=0, dtype=np.int32)
+def inverted(order: np.ndarray, pivots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, vectors, places): the vectors of pivot p's file are vectors[offsets[p]:offsets[p + 1]], by number."""
+    flat = order.ravel()
+    by = np.argsort(flat, kind="stable")
+    return np.searchsorted(flat[by], np.arange(pivots + 1)), (by // order.shape[1]).astype(np.int32), (by % order.shape[1]).astype(np.uint8)
 
 
-def search(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX, posted: int = POSTED, probed: int = PROBED, reach: float = REACH) -> DataFrame:
-    """vec_id, neighbor_id, rank and distance: about the k nearest others of every vector, ties by id.
+def footrule(query: np.ndarray, files: tuple[np.ndarray, np.ndarray, np.ndarray], count: int) -> np.ndarray:
+    """Footrule distance of a query's order to that of each of count vectors: the sum over its pivots of the difference of places.
 
-    Which rows take part is as in exact_search.top_k.  Every number of dimensions
-    has its own pivots, its vectors of the smallest hashed ids, so the result
-    doesn't depend on partitions.
+    A pivot that a vector's order lacks has the place after the last.
+    """
+    offsets, vectors, places = files
+    width = len(query)
+    opened = np.concatenate([np.arange(a, b) for a, b in zip(offsets[query], offsets[query + 1])])
+    place = np.repeat(np.arange(width), offsets[query + 1] - offsets[query])
+    nearer = (width - place) - np.abs(place - places[opened].astype(np.int64))
+    return width * (width + 1) // 2 - np.bincount(vectors[opened], weights=nearer, minlength=count).astype(np.int64)
+
+
+def search(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST, every: int = EVERY) -> DataFrame:
+    """vec_id, neighbor_id, rank and distance: about the k nearest others of every vector whose id is divisible by every, ties by id.
+
+    Which rows take part is as in exact_search.top_k, also for nulls, repeated
+    ids and empty tables.  Vectors of each number of dimensions have pivots of
+    their own.  Vectors of equal footrule distance are reranked together.  The
+    result doesn't depend on partitions.
     """
     spark = table.sparkSession
     rows = stored(vector_rows(table, vec_id, embedding), "permutation-vectors")
-    nearest = Window.partitionBy("d").orderBy(F.xxhash64("id"), "id")
-    ids = rows.select("id", "d").withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= pivots).select("id")
-    chosen = rows.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id").collect()  # up to pivots a number of dimensions
-    held = spark.sparkContext.broadcast({d: np.array([r["v"] for r in chosen if r["d"] == d]) for d in {r["d"] for r in chosen}})
-    kind = np.float32 if table.schema[embedding].dataType.elementType == T.FloatType() else np.float64  # as given, so exact
-
-    def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = spark.sparkContext.broadcast(numbered(rows, pivots, FEWEST, 2.0))
+    totals = {r["d"]: r["count"] for r in rows.groupBy("d").count().collect()}
+    shards = max(1, math.ceil(8 * sum(d * n for d, n in totals.items()) / SHARD_BYTES))
+    taken = {d: min(1.0, max(share, least / n)) for d, n in totals.items()}
+
+    def build(part: pa.Table) -> pa.Table:
+        part = part.sort_by("id").combine_chunks()
+        d = part["d"][0].as_py()
+        x = matrix(part["v"].chunk(0), d)
+        order = permutations(x, held.value[d], prefix)
+        offsets, vectors, places = inverted(order, len(held.value[d]))
+        packed = [a.tobytes() for a in (part["id"].to_numpy(), x, offsets.astype(np.int64), vectors, places)]
+        return pa.table({"d": pa.array([d], pa.int32()), **{n: pa.array([b], pa.binary()) for n, b in zip(("ids", "x", "offsets", "vectors", "places"), packed)}})
+
+    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    index = stored(sharded.groupBy("d", "shard").applyInArrow(build, "d int, ids binary, x binary, offsets binary, vectors binary, places binary"), "permutation-index")
+    found = None
+    for block in query_blocks(rows, every):
+        near = _scanned(index, block, {d: permutations(q, held.value[d], prefix) for d, (_, q) in block.items()}, taken, k)
+        found = near if found is None else found.unionByName(near)
+    return ranked(spark.createDataFrame([], FOUND) if found is None else found, k)
+
+
+def _scanned(index: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray]], orders: dict[int, np.ndarray], taken: dict[int, float], k: int) -> DataFrame:
+    held = index.sparkSession.sparkContext.broadcast((block, orders))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, orders = held.value
+        best = {d: Best(np.full(len(x), np.inf), k) for d, (_, x) in queries.items()}
         for batch in batches:
-            sizes = batch.column("d").to_numpy()
-            for d in np.unique(sizes).tolist():
-                mine = batch.filter(pa.array(sizes == d))
-                x = np.array(mine.column("v").to_pylist())
-                order = permutations(x, held.value[d], prefix)
-                yield pa.RecordBatch.from_arrays([mine.column("id"), mine.column("d"), pa.array([v.tobytes() for v in x.astype(kind)], pa.binary()), pa.array([o.tobytes() for o in order], pa.binary()), pa.array(order[:, : max(posted, probed)].tolist(), pa.list_(pa.int32()))], names=["id", "d", "x", "order", "first"])
-
-    index = stored(rows.mapInArrow(permute, "id long, d int, x binary, order binary, first array<int>"), "permutation-index")
-    postings = index.select("id", "d", "x", "order", F.posexplode(F.slice("first", 1, posted)).alias("place", "pivot"))
-    probes = index.select("id", "d", "x", "order", F.posexplode(F.slice("first", 1, probed)).alias("place", "pivot"))
-    # long files are cut; each part of the queries meets each part of the postings
-    lengths = index.select("d", F.explode("first").alias("pivot")).groupBy("d", "pivot").agg(F.ceil(F.count("*") / _PART).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    all_parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    sides = probes.join(F.broadcast(lengths), ["d", "pivot"]).withColumn("a", part).withColumn("b", all_parts).withColumn("side", F.lit(0)).unionByName(postings.join(F.broadcast(lengths), ["d", "pivot"]).withColumn("b", part).withColumn("a", all_parts).withColumn("side", F.lit(1)))  # one row a pivot
-
-    def scan(table: pa.Table) -> pa.Table:
-        d = table["d"][0].as_py()
-        side = table["side"].to_numpy()
-
-        def taken(which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-            t = table.filter(pa.array(side == which))
-            x = np.frombuffer(b"".join(t["x"].to_pylist()), dtype=kind).reshape(-1, d).astype(np.float64)
-            return t["id"].to_numpy(), x, np.frombuffer(b"".join(t["order"].to_pylist()), dtype=np.uint16).reshape(len(x), -1).astype(np.int64), t["place"].to_numpy()
-
-        q_ids, q, q_order, q_place = taken(0)
-        x_ids, x, x_order, _ = taken(1)
-        out: list[tuple[np.ndarray, ...]] = []
-        if len(q_ids) and len(x_ids):
-            width = x_order.shape[1]
-            places = np.full((len(held.value[d]), len(x_ids)), width, dtype=np.uint8)
-            for i in range(width):
-                places[x_order[:, i], np.arange(len(x_ids))] = i
-            most = reach * width * (width + 1) / 2
-            for at in range(0, len(q_ids), 256):
-                exact = squared(q[at : at + 256], x)
-                for i in range(len(exact)):
-                    j = at + i
-                    good = footrule(q_order[j], places) <= most
-                    # a pair that an earlier file of the query holds is left to that one
-                    good &= ~(places[q_order[j, : q_place[j]]] < posted).any(axis=0) & (x_ids != q_ids[j])
-                    mine = np.flatnonzero(good)
+            for shard in range(batch.num_rows):
+                d = batch.column("d")[shard].as_py()
+                if d not in queries:
+                    continue
+                ids, x, *files = (np.frombuffer(batch.column(n)[shard].as_buffer(), dtype=t) for n, t in (("ids", np.int64), ("x", np.float64), ("offsets", np.int64), ("vectors", np.int32), ("places", np.uint8)))
+                x = x.reshape(-1, d)
+                few = math.ceil(taken[d] * len(ids))
+                q_ids, q = queries[d]
+                for i in range(len(q_ids)):
+                    rank = footrule(orders[d][i], files, len(ids))
+                    mine = np.flatnonzero(rank <= np.partition(rank, few - 1)[few - 1])
+                    mine = mine[ids[mine] != q_ids[i]]
+                    distance = np.sqrt(((x[mine] - q[i]) ** 2).sum(axis=1))
                     if len(mine) > k:
-                        edge = np.partition(exact[i, mine], k - 1)[k - 1]
-                        mine = mine[exact[i, mine] <= edge * (1 + 1e-9) + 1e-12]
-                    if len(mine):
-                        distance = np.sqrt(((x[mine] - q[j]) ** 2).sum(axis=1))
-                        best = np.lexsort((x_ids[mine], distance))[:k]
-                        out.append((np.full(len(best), q_ids[j]), x_ids[mine[best]], distance[best]))
-        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)]
-        return pa.table(dict(zip(("id", "neighbor", "distance"), columns)))
-
-    return ranked(sides.groupBy("d", "pivot", "a", "b").applyInArrow(scan, "id long, neighbor long, distance double"), k)
+                        nearest = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
+                        mine, distance = mine[nearest], distance[nearest]
+                    order = np.lexsort((ids[mine], distance))[:k]
+                    best[d].add(np.full(len(order), i), ids[mine[order]], distance[order])
+        for d, (q_ids, _) in queries.items():
+            yield best[d].rows(q_ids)
+
+    return stored(index.mapInArrow(scan, FOUND), "permutation-found")

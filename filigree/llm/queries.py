@@ -67,7 +67,7 @@ ORACLES["op4_suffix_dedup"] = suffix_dedup.repeats_sql()
 
 @_query
 def op5_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten nearest others of every embedding."""
+    """The ten nearest others, among all embeddings, of every embedding whose id is divisible by 50."""
     return exact_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
@@ -76,7 +76,7 @@ ORACLES["op5_exact_search"] = exact_search.top_k_sql()
 
 @_query
 def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """About the ten nearest others of every embedding."""
+    """About the ten nearest others, among all embeddings, of every embedding whose id is divisible by 50."""
     return permutation_index.search(table(spark, sf_dir, "embeddings"))
 
 
