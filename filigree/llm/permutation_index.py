@@ -32,7 +32,7 @@ from filigree.llm.exact_search import EVERY, FOUND, Best, matrix, numbered, quer
 PIVOTS, FEWEST, PREFIX = 4096, 128, 64
 SHARE, LEAST = 0.25, 1000
 #: Bytes of vectors of one shard.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 
 
 def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -41,9 +41,14 @@ def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     for at in range(0, len(x), 1024):
         d = squared(x[at : at + 1024], pivots)
         if prefix < d.shape[1]:
-            edge = np.partition(d, prefix - 1, axis=1)[:, prefix - 1 : prefix]
-            d[d > edge] = np.inf
-        parts.append(np.argsort(d, axis=1, kind="stable")[:, :prefix])
+            some = np.sort(np.argpartition(d, prefix - 1, axis=1)[:, :prefix], axis=1)
+            near = np.take_along_axis(d, some, axis=1)
+            order = np.take_along_axis(some, np.argsort(near, axis=1, kind="stable"), axis=1)
+            tied = np.flatnonzero((d <= near.max(axis=1, keepdims=True)).sum(axis=1) > prefix)
+            order[tied] = np.argsort(d[tied], axis=1, kind="stable")[:, :prefix]
+        else:
+            order = np.argsort(d, axis=1, kind="stable")
+        parts.append(order)
     return np.concatenate(parts).astype(np.int32) if parts else np.zeros((0, min(prefix, len(pivots))), dtype=np.int32)
 
 
@@ -61,10 +66,11 @@ def footrule(query: np.ndarray, files: tuple[np.ndarray, np.ndarray, np.ndarray]
     """
     offsets, vectors, places = files
     width = len(query)
-    opened = np.concatenate([np.arange(a, b) for a, b in zip(offsets[query], offsets[query + 1])])
-    place = np.repeat(np.arange(width), offsets[query + 1] - offsets[query])
-    nearer = (width - place) - np.abs(place - places[opened].astype(np.int64))
-    return width * (width + 1) // 2 - np.bincount(vectors[opened], weights=nearer, minlength=count).astype(np.int64)
+    out = np.full(count, width * (width + 1) // 2, dtype=np.int32)
+    gains = (width - np.arange(width)[:, None]) - np.abs(np.arange(width)[:, None] - np.arange(width))
+    for gain, a, b in zip(gains.astype(np.int32), offsets[query].tolist(), offsets[query + 1].tolist()):
+        out[vectors[a:b]] -= gain[places[a:b]]  # a file holds a vector once
+    return out
 
 
 def search(table: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST, every: int = EVERY) -> DataFrame:
@@ -115,16 +121,19 @@ def _scanned(index: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray]],
                 x = x.reshape(-1, d)
                 few = math.ceil(taken[d] * len(ids))
                 q_ids, q = queries[d]
+                squares, found = (x * x).sum(axis=1), []
                 for i in range(len(q_ids)):
                     rank = footrule(orders[d][i], files, len(ids))
                     mine = np.flatnonzero(rank <= np.partition(rank, few - 1)[few - 1])
                     mine = mine[ids[mine] != q_ids[i]]
+                    near = squares[mine] - 2 * (x[mine] @ q[i])
+                    if len(mine) > k:  # all within rounding of the edge count, so that ties are decided by id
+                        edge = np.partition(near, k - 1)[k - 1] + (q[i] @ q[i])
+                        mine = mine[near + (q[i] @ q[i]) <= edge + 1e-9 * (1 + edge + squares.max())]
                     distance = np.sqrt(((x[mine] - q[i]) ** 2).sum(axis=1))
-                    if len(mine) > k:
-                        nearest = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
-                        mine, distance = mine[nearest], distance[nearest]
                     order = np.lexsort((ids[mine], distance))[:k]
-                    best[d].add(np.full(len(order), i), ids[mine[order]], distance[order])
+                    found.append((np.full(len(order), i), ids[mine[order]], distance[order]))
+                best[d].add(*(np.concatenate(c) for c in zip(*found)))
         for d, (q_ids, _) in queries.items():
             yield best[d].rows(q_ids)
 
