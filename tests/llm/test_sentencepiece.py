@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 import sentencepiece
@@ -35,6 +36,36 @@ def test_random_texts_equal_the_library(library):
     assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == library.encode(texts)
 
 
+def test_long_words_equal_the_library(library, monkeypatch):
+    rng = random.Random(6)
+    v = codec.vocabulary(codec.DEFAULT_MODEL)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    words = ["".join(rng.choice(a) for _ in range(n)) for a in (base64, "ab", "中文字符 ", "é🎉x", "=") for n in (300, 3000)]
+    words += ["a" * 1001, "internationalization" * 40, "🎊" * 400]
+    for long in (codec.LONG, 0, 10**9):  # by heaps where long, all by heaps, none
+        monkeypatch.setattr(codec, "LONG", long)
+        ids, offsets = codec.MergeVocabulary(codec.DEFAULT_MODEL).encode_batch(words, check=True)
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == library.encode(words)
+    monkeypatch.undo()
+    text = "".join(rng.choice(base64) for _ in range(1_000_000))
+    began = time.process_time()
+    ids, _ = v.encode_batch([text], check=True)
+    assert time.process_time() - began < 60
+    assert ids.tolist() == library.encode(text)
+
+
+def test_a_vocabulary_that_does_not_split_at_blanks_is_refused():
+    def message(*fields):
+        return b"".join(bytes([n << 3 | 2, len(v)]) + v if isinstance(v, bytes) else bytes([n << 3, v]) for n, v in fields)
+
+    good = {1: message((1, b"a")), 2: message((3, 2)), 3: message((1, b"identity"), (4, 0))}
+    codec._verify(message(*good.items()))
+    suffix = message((3, 2)) + bytes([24 << 3 & 127 | 128, 24 << 3 >> 7, 1])
+    for part, value in ((1, message((1, b"a b"), (3, 4))), (2, message((3, 1))), (2, suffix), (3, message((4, 1))), (3, message((2, b"x"), (4, 0))), (3, message((3, 0), (4, 0)))):
+        with pytest.raises(ValueError):
+            codec._verify(message(*(good | {part: value}).items()))
+
+
 def test_long_text_round_trip(spark):
     text = "the quick brown fox " * 60_000
     row = codec.encode(documents(spark, [(1, text)])).collect()[0]
