@@ -69,7 +69,7 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in gone])
 
 
-def text_slices(batch: pa.RecordBatch, column: str, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of bounded text size."""
     if not batch.num_rows:
         return

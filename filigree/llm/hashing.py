@@ -34,16 +34,17 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_POWER_CACHE: dict[str, np.ndarray] = {}
+#: Bytes that are hashed together; a longer word is a piece of its own.
+_PIECE = 1 << 19
+_POWER_CACHE: list[np.ndarray] = []
 
 
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    held = _POWER_CACHE.get("p")
-    if held is None or len(held) < n:
-        size = max(n, 1 << 16)
-        _POWER_CACHE["p"] = _powers(_P, size)
-        _POWER_CACHE["i"] = _powers(_PINV, size)
-    return _POWER_CACHE["p"][:n], _POWER_CACHE["i"][:n]
+    if n > _PIECE + 1:
+        return _powers(_P, n), _powers(_PINV, n)
+    if not _POWER_CACHE:
+        _POWER_CACHE.extend((_powers(_P, _PIECE + 1), _powers(_PINV, _PIECE + 1)))
+    return _POWER_CACHE[0][:n], _POWER_CACHE[1][:n]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -70,7 +71,7 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     lo = 0
     while lo < len(starts):
         base = int(starts[lo])
-        hi = int(np.searchsorted(ends, base + (1 << 22), side="right"))
+        hi = int(np.searchsorted(ends, base + _PIECE, side="right"))
         hi = max(hi, lo + 1)
         piece = buf[base : int(ends[hi - 1])]
         power, inverse = _power_table(len(piece) + 1)

@@ -41,9 +41,9 @@ BROADCAST_ROWS = 1_000_000
 #: A set of more than this share of all documents is joined by broadcast, so there are at most as many as its inverse.
 HOT_SHARE = 1e-3
 _RANGE = 2_000_000  # n-grams of one range, of which about half have postings
-_PACK = 1_500_000  # n-grams that are packed together
+_PACK = 800_000  # n-grams that are packed together
 _CELLS = 500_000  # postings by groups that are summed at a time
-_OPEN = 1_500_000  # n-grams of one side of an exact comparison
+_OPEN = 1_000_000  # n-grams of one side of an exact comparison
 _MASK = np.uint64(0xFFFFFFFF)
 
 

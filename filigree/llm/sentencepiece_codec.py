@@ -277,7 +277,7 @@ class MergeVocabulary:
             ids, word = out, np.repeat(word, count)
         return ids.astype(np.int32), np.searchsorted(word, np.arange(len(words) + 1))
 
-    def encode_batch(self, texts: list[str], check: bool = False, held: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+    def encode_batch(self, texts: list[str], check: bool = False, held: int = 120_000) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of a batch of texts; a null or empty text has no ids.
 
         Words are remembered between batches, up to about held of them or ten

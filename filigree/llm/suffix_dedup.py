@@ -26,8 +26,8 @@ from filigree.llm.hashing import WORD_RE, hash_spans, mix64, word_spans
 LENGTH = 50
 #: Rows up to which the table of repeats is broadcast when texts are cut; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
-_SHARD = 4_000_000  # bytes of text
-_WINDOWS = 2_000_000  # of one key range
+_SHARD = 2_000_000  # bytes of text
+_WINDOWS = 1_000_000  # of one key range
 
 
 def suffix_array(values: np.ndarray) -> np.ndarray:
