@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from pathlib import Path
 
@@ -24,13 +25,20 @@ def sections(name: str) -> dict[str, list[str]]:
     return out
 
 
+def expanded(line: str) -> list[str]:
+    """The phrases of a line whose {a|b} stand for either."""
+    parts = re.split(r"\{([^}]*)\}", line)
+    return ["".join(choice) for choice in itertools.product(*[p.split("|") if i % 2 else [p] for i, p in enumerate(parts)])]
+
+
 def phrases(section: str) -> list[str]:
-    return sections("vocabulary")[section]
+    """The phrases of a section of the vocabulary, each once."""
+    return list(dict.fromkeys(p for line in sections("vocabulary")[section] for p in expanded(line)))
 
 
 def grouped(kind: str) -> dict[str, list[str]]:
     """The sections "kind:name" by name, in order."""
-    return {k.split(":")[1]: v for k, v in sections("vocabulary").items() if k.startswith(f"{kind}:")}
+    return {k.split(":")[1]: phrases(k) for k in sections("vocabulary") if k.startswith(f"{kind}:")}
 
 
 def pairs(section: str) -> list[tuple[str, str]]:

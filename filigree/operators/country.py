@@ -24,15 +24,14 @@ def decoded(df: DataFrame, code: str, prefix: str) -> DataFrame:
 def text_to_country(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with the country of a free-text jurisdiction: an alias, else the longest name that it holds as whole words.
 
-    Names of equal length are taken in order state, province, country.  Each
-    distinct text is resolved once, against a fixed list of names.
+    Names of equal length are taken in order state, province, country.  The fixed
+    list of names is part of the expression, so nothing is joined or shuffled.
     """
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.col(text)), "[^a-z ]", " "), r"\s+", " "))
     aliases = F.create_map(*[x for t, c in data.pairs("alias") for x in (F.lit(data.plain(t)), F.lit(c))])
     names = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c, _ in data.place_names()])
     found = F.get(F.filter(names, lambda p: F.contains(F.concat(F.lit(" "), F.col("plain_"), F.lit(" ")), F.concat(F.lit(" "), p["n"], F.lit(" ")))), F.lit(0))["c"]
-    distinct = df.select(plain.alias("plain_")).where("plain_ <> ''").distinct().withColumn(out, F.coalesce(F.try_element_at(aliases, F.col("plain_")), found))
-    return df.withColumn("plain_", plain).join(distinct, "plain_", "left").drop("plain_")
+    return df.withColumn("plain_", plain).withColumn(out, F.when(F.col("plain_") != "", F.coalesce(F.try_element_at(aliases, F.col("plain_")), found))).drop("plain_")
 
 
 _COUNTRIES = "U[.]?S[.]?A[.]?|United States|United Kingdom|England|Ireland|Germany|France|Netherlands|Switzerland|Luxembourg|Israel|China|Hong Kong|Singapore|Japan|Australia|Brazil|Mexico|Panama|Bermuda|Cayman|Jersey|Guernsey|Marshall Islands|Canada|Quebec|Québec|Ontario|British Columbia"

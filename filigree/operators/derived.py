@@ -95,19 +95,19 @@ def ratio_display(n: Column, label: Column) -> Column:
 def adr_ratios(securities: DataFrame, texts: DataFrame | None = None, key: str = "accession_number") -> DataFrame:
     """Depositary securities with shares_per_ads, underlying, method, confidence, evidence and display.
 
-    The title decides; only rows that it leaves open are joined with their
-    filing's text (key, text) and read in prose.
+    The title decides; only rows that it leaves open meet their filing's text
+    (key, text) and are read in prose.  The others join under keys of their own
+    that no text has, spread evenly.
     """
     rows = securities.where(is_ads(F.col("security_title"), F.col("security_class"))).withColumn("r_", title_ratio("security_title"))
-    columns = securities.columns
-    done = rows.where("r_.shares_per_ads is not null").select(*columns, "r_.*", F.lit("regex-title").alias("method"))
-    left = rows.where("r_.shares_per_ads is null").select(*columns)
-    if texts is not None:
-        left = left.join(texts.select(key, F.col("text").alias("t_")), key, "left").withColumn("r_", prose_ratio("t_"))
+    open_ = F.col("r_.shares_per_ads").isNull()
+    if texts is None:
+        every = rows.withColumn("p_", F.lit(None).cast(_RATIO))
     else:
-        left = left.withColumn("r_", F.lit(None).cast(_RATIO))
-    rest = left.select(*columns, "r_.*", F.when(F.col("r_.shares_per_ads").isNotNull(), "regex-text").alias("method"))
-    every = done.unionByName(rest)
+        asked = F.when(open_, F.col(key)).otherwise(F.concat(F.lit("no text "), F.pmod(F.xxhash64("security_title", key), F.lit(100_000)).cast("string")))
+        every = rows.withColumn("k_", asked).join(texts.select(F.col(key).alias("k_"), F.col("text").alias("t_")), "k_", "left").withColumn("p_", prose_ratio("t_"))
+    method = F.when(~open_, "regex-title").when(F.col("p_.shares_per_ads").isNotNull(), "regex-text")
+    every = every.select(*securities.columns, F.when(open_, F.col("p_")).otherwise(F.col("r_")).alias("x_"), method.alias("method")).select(*securities.columns, "x_.*", "method")
     return every.withColumn("confidence", F.when(F.col("method").isNull(), "low").otherwise("high")).withColumn("display", ratio_display(F.col("shares_per_ads"), F.col("underlying")))
 
 

@@ -77,9 +77,10 @@ def pivot_concepts(facts: DataFrame, periods: Sequence[str], consolidated_only:
 def entity_facts(facts: DataFrame) -> DataFrame:
     """One row a filing of the entity-level cover facts that have no dimension."""
     rows = cover_facts(facts).where(~F.col("is_dimensioned") & ~F.col("concept").isin(*_LISTING.values())).withColumn("clean", clean_text(F.col("value")))
-    first = rows.where("clean is not null").groupBy("filing_key", "concept").agg(F.min_by("clean", "ordinal").alias("clean"))
-    known = F.map_from_entries(F.collect_list(F.struct("concept", "clean")))
-    found = rows.groupBy("filing_key").agg(F.min("ordinal").alias("first_ordinal")).join(first.groupBy("filing_key").agg(known.alias("m")), "filing_key", "left")
+    held = F.array_sort(F.collect_list(F.when(F.col("clean").isNotNull(), F.struct("concept", "ordinal", "clean"))))
+    first = F.filter("held", lambda x, i: (i == 0) | (x["concept"] != F.get("held", i - 1)["concept"]))
+    known = F.map_from_entries(F.transform(first, lambda x: F.struct(x["concept"], x["clean"])))
+    found = rows.groupBy("filing_key").agg(held.alias("held")).select("filing_key", known.alias("m"))
     value = lambda c: F.element_at("m", F.lit(c))
     columns = [(to_float(value(c)) if c == SHARES else value(c)).alias(n) for n, c in ENTITY.items()]
     extra = F.map_filter("m", lambda k, _: ~k.isin(*ENTITY.values()))

@@ -145,12 +145,13 @@ def quarter_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- ledger
 
-_TRANSITIONS_SQL = "transitions as (select strftime(ts, '%Y-%m-%d') as idx_date, event_id as seq, case event_type when 'purchase' then 'parsed' when 'view' then 'empty' when 'error' then 'failed' else 'available' end as status from events where user_id % 29 = 0), ledger as (select idx_date, arg_max(status, (case when status = 'available' then 0 else 1 end) * 1000000000 + seq) as status, max(seq) as seq from transitions group by 1)"
+_TRANSITIONS_SQL = "transitions as (select strftime(ts, '%Y-%m-%d') as idx_date, event_id as seq, case event_type when 'purchase' then 'parsed' when 'view' then 'empty' when 'error' then 'failed' else 'available' end as status from (select event_id, ts, case when day(ts) % 5 = 0 and event_type <> 'error' then 'other' else event_type end as event_type from events)), ledger as (select idx_date, arg_max(status, (case when status = 'available' then 0 else 1 end) * 1000000000 + seq) as status, max(seq) as seq from transitions group by 1)"
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.create_map(*[F.lit(x) for x in ("purchase", "parsed", "view", "empty", "error", "failed")])
-    e = _table(spark, sf_dir, "events").where("user_id % 29 = 0")
+    kind = F.when((F.day("ts") % 5 == 0) & (F.col("event_type") != "error"), "other").otherwise(F.col("event_type"))  # such days stay unfinished
+    e = _table(spark, sf_dir, "events").select("event_id", "ts", kind.alias("event_type"))
     return ledger.current(e.select(_day("ts").alias("idx_date"), F.col("event_id").alias("seq"), F.coalesce(F.try_element_at(status, F.col("event_type")), F.lit("available")).alias("status")))
 
 
@@ -169,11 +170,12 @@ def ledger_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.summary(_ledger(spark, sf_dir))
 
 
-@_query(f"""with {_TRANSITIONS_SQL}, d as (select distinct strftime(ts, '%Y-%m-%d') as idx_date from events where day(ts) % 2 = 0)
+@_query(f"""with {_TRANSITIONS_SQL}, d as (select distinct strftime(ts, '%Y-%m-%d') as idx_date from events where strftime(ts, '%Y-%m-%d') >= '2024-01-12')
 select idx_date, 'discovered' as origin from d where idx_date not in (select idx_date from ledger where status in ('parsed', 'empty')) union all
 select idx_date, 'backlog' from ledger where status in ('available', 'failed') and idx_date <= '2024-01-25' and idx_date not in (select idx_date from d)""")
 def ingest_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _table(spark, sf_dir, "events").where(F.day("ts") % 2 == 0).select(_day("ts").alias("idx_date"))
+    """Discovery covers the days of an explicit range."""
+    found = _table(spark, sf_dir, "events").where("ts >= timestamp'2024-01-12'").select(_day("ts").alias("idx_date"))
     return ledger.todo(found, _ledger(spark, sf_dir), F.lit("2024-01-25"))
 
 
@@ -281,14 +283,14 @@ def _ordinal() -> Column:
 
 
 _DEI_SQL = f"""dei as (select l_orderkey as filing_key, {_ORDINAL_SQL} as ordinal, case l_linenumber when 1 then 'EntityRegistrantName' when 2 then 'EntityIncorporationStateCountryCode' when 3 then 'CityAreaCode' when 4 then 'LocalPhoneNumber' else 'DocumentType' end as concept,
-  case when l_returnflag = 'A' then null else l_partkey::varchar end as value from lineitem where l_linestatus = 'O')"""
+  case when l_returnflag = 'A' then null else l_partkey::varchar end as value from lineitem)"""
 
 
 @_query(f"""with {_DEI_SQL}, p as (select filing_key, {', '.join(f"arg_min(value, ordinal) filter (concept = '{c}' and value is not null) as {n}" for n, c in (('registrant_name', 'EntityRegistrantName'), ('incorporation_state', 'EntityIncorporationStateCountryCode'), ('phone_area_code', 'CityAreaCode'), ('phone_local', 'LocalPhoneNumber'), ('document_type', 'DocumentType')))} from dei group by filing_key)
 select *, phone_area_code || '-' || phone_local as phone from p""")
 def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.create_map(*[x for i, c in enumerate(("EntityRegistrantName", "EntityIncorporationStateCountryCode", "CityAreaCode", "LocalPhoneNumber"), 1) for x in (F.lit(i), F.lit(c))])
-    li = _table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
+    li = _table(spark, sf_dir, "lineitem")
     rows = li.select(F.col("l_orderkey").alias("filing_key"), _ordinal().alias("ordinal"), F.coalesce(F.try_element_at(names, F.col("l_linenumber")), F.lit("DocumentType")).alias("concept"), F.when(F.col("l_returnflag") != "A", F.col("l_partkey").cast("string")).alias("value"), F.lit("x/dei/2024").alias("namespace"), F.lit(False).alias("is_dimensioned"))
     return facts.entity_facts(rows).select("filing_key", "registrant_name", "incorporation_state", "phone_area_code", "phone_local", "document_type", "phone")
 
@@ -433,11 +435,12 @@ def code_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return country.decoded(rows, "code", "").select("c_custkey", "kind", "name", "country")
 
 
-@_query(f"""with places(n, c, rank) as (values {_values(data.place_names())}), t as (select distinct n_name || ' and ' || r_name as text, regexp_replace(lower(n_name || ' and ' || r_name), '[^a-z ]', ' ', 'g') as plain from nation, region)
-select text, arg_min(c, rank) as country from t left join places on contains(' ' || plain || ' ', ' ' || n || ' ') group by text""")
+@_query(f"""with places(n, c, rank) as (values {_values(data.place_names())}), t as (select c_custkey, c_name || ', a ' || lower(n_name) || ' company' as text from customer join nation on c_nationkey = n_nationkey), p as (select *, regexp_replace(lower(text), '[^a-z ]', ' ', 'g') as plain from t)
+select c_custkey, any_value(text) as text, arg_min(c, rank) as country from p left join places on contains(' ' || plain || ' ', ' ' || n || ' ') group by c_custkey""")
 def text_to_country_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _table(spark, sf_dir, "nation").crossJoin(_table(spark, sf_dir, "region"))  # 25 x 5 rows
-    return country.text_to_country(pairs.select(F.concat("n_name", F.lit(" and "), "r_name").alias("text")), "text", "country")
+    nation = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    text = F.concat("c_name", F.lit(", a "), F.lower("n_name"), F.lit(" company"))
+    return country.text_to_country(_table(spark, sf_dir, "customer").join(nation, "c_nationkey").select("c_custkey", text.alias("text")), "text", "country")
 
 
 _US = ["DE", "CA", "NV", "", "NY"]
@@ -525,7 +528,7 @@ def voting_rights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.voting_rights(rows).select("cik", "class_label", "votes_per_share", "confidence")
 
 
-_STORE_SQL = """old as (select doc_id, case when quality = 1 then 'approved' else 'rejected' end as status, quality || '' as payload from labels), res as (select doc_id, case when doc_id % 3 = 0 then 'x' else '1' end as payload from documents where doc_id % 5 <> 0),
+_STORE_SQL = """old as (select doc_id, case when quality = 1 then 'approved' else 'rejected' end as status, quality || '' as payload from labels), res as (select doc_id, case when doc_id % 3 = 0 then 'x' else '1' end as payload from documents where doc_id not in (select doc_id from labels where quality = 0)),
 store as (select coalesce(old.doc_id, res.doc_id) as cik, coalesce(res.payload, old.payload) as payload, case when old.doc_id is null then 'pending' when res.doc_id is not null and res.payload <> old.payload then 'pending' else old.status end as status,
   case when old.payload <> res.payload then 'superseded a result that was ' || old.status end as review_note, case when old.doc_id is null then 'now' else 'then' end as created_utc, case when old.doc_id is null or res.payload <> old.payload then 'now' else 'then' end as updated_utc from old full join res on old.doc_id = res.doc_id)"""
 
@@ -533,7 +536,8 @@ store as (select coalesce(old.doc_id, res.doc_id) as cik, coalesce(res.payload,
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = [F.lit("icb").alias("kind"), F.col("doc_id").alias("cik"), F.lit("a").alias("source_accession")]
     old = _table(spark, sf_dir, "labels").select(*keys, F.col("quality").cast("string").alias("payload"), F.lit(None).cast("string").alias("edited"), F.when(F.col("quality") == 1, "approved").otherwise("rejected").alias("status"), F.lit(None).cast("string").alias("review_note"), F.lit("then").alias("created_utc"), F.lit("then").alias("updated_utc"))
-    new = _table(spark, sf_dir, "documents").where("doc_id % 5 <> 0").select(*keys, F.when(F.col("doc_id") % 3 == 0, "x").otherwise("1").alias("payload"))
+    rejected = _table(spark, sf_dir, "labels").where("quality = 0")  # these aren't computed again
+    new = _table(spark, sf_dir, "documents").join(rejected, "doc_id", "left_anti").select(*keys, F.when(F.col("doc_id") % 3 == 0, "x").otherwise("1").alias("payload"))
     return derived.saved(old, new, F.lit("now"))
 
 
@@ -547,11 +551,11 @@ def review_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.review_stats(_store(spark, sf_dir))
 
 
-@_query("""with e as (select user_id, event_id as pos, case event_type when 'click' then 'high' when 'view' then 'medium' when 'error' then 'review' when 'purchase' then 'low' end as confidence, event_type as method from events where event_id % 11 = 0)
+@_query("""with e as (select user_id, event_id as pos, case event_type when 'click' then 'high' when 'view' then 'medium' when 'error' then 'review' when 'purchase' then 'low' end as confidence, event_type as method from events)
 select user_id, ['high', 'medium', 'low', 'review'][max(case confidence when 'high' then 1 when 'low' then 3 when 'review' then 4 else 2 end)] as confidence, array_to_string(list_sort(list_distinct(list(method))), '+') as methods, count(*) as n from e group by user_id""")
 def worst_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.create_map(*[F.lit(x) for x in ("click", "high", "view", "medium", "error", "review", "purchase", "low")])
-    e = _table(spark, sf_dir, "events").where("event_id % 11 = 0").select("user_id", F.col("event_id").alias("pos"), F.try_element_at(label, F.col("event_type")).alias("confidence"), F.col("event_type").alias("method"), F.col("event_id").cast("string").alias("evidence"))
+    e = _table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("pos"), F.try_element_at(label, F.col("event_type")).alias("confidence"), F.col("event_type").alias("method"), F.col("event_id").cast("string").alias("evidence"))
     return derived.combined(e, "user_id").withColumn("n", (F.regexp_count("evidence", F.lit("\n")) + 1).cast("bigint")).drop("evidence")
 
 
@@ -568,10 +572,10 @@ def sliding_window_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idioms.sliding_max(_table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "value", 5)
 
 
-@_query("with s as (select user_id, list_sort(list_distinct(list(event_type))) as a from events where event_id % 40 = 0 group by 1) select user_id, array_to_string(a, ',') as own, array_to_string(list_filter(a, lambda x: x in ('click', 'view')), ',') as common, array_to_string(list_filter(a, lambda x: x not in ('click', 'view')), ',') as other, list_contains(a, 'error') as has_error from s")
+@_query("with s as (select user_id, list_sort(list_distinct(list(event_type))) as a from events group by 1) select user_id, array_to_string(a, ',') as own, array_to_string(list_filter(a, lambda x: x in ('click', 'view')), ',') as common, array_to_string(list_filter(a, lambda x: x not in ('click', 'view')), ',') as other, list_contains(a, 'error') as has_error from s")
 def array_set_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.array(F.lit("click"), F.lit("view"))
-    s = _table(spark, sf_dir, "events").where("event_id % 40 = 0").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("a"))
+    s = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("a"))
     return s.select("user_id", F.array_join("a", ",").alias("own"), F.array_join(F.array_intersect("a", known), ",").alias("common"), F.array_join(F.array_except("a", known), ",").alias("other"), F.array_contains("a", "error").alias("has_error"))
 
 
