@@ -1,43 +1,95 @@
-"""Tables kept as whole versions: a version folder is written first, then a pointer file names it.
+"""Tables kept as versions: folders are written first, then a numbered entry of a log names them.
 
 A reader sees the old or the new version; a job that dies between leaves a
-folder that nothing names.  Keyed merges are plans over the current version.
+folder that nothing names.  A version is a set of parts, each a folder, so a
+write of some parts leaves the others where they are.  The file system has to
+create a file exclusively, as local ones and HDFS do.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+
+WHOLE = ""
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._p = jvm.org.apache.hadoop.fs.Path
+    """keep: versions whose folders stay readable."""
+
+    def __init__(self, spark: SparkSession, path: str, keep: int = 10) -> None:
+        self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
+        self._p = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._p(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._seen: int | None = None
 
     def versions(self) -> list[str]:
-        """Committed versions, oldest first."""
+        """Numbers of the versions in the log, oldest first."""
         if not self._fs.exists(self._p(f"{self.path}/_log")):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._p(f"{self.path}/_log")))
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._p(f"{self.path}/_log"))]
+        return sorted(n for n in names if n.isdigit())
 
-    def read(self) -> DataFrame | None:
+    def _entry(self, version: str) -> dict[str, str]:
+        """Folder by part.  An entry that is still empty belongs to a writer that is just committing, or that died so; it counts as taken."""
+        stream = self._fs.open(self._p(f"{self.path}/_log/{version}"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        if not text:
+            raise RuntimeError(f"version {version} is being committed; if its writer is dead, delete its entry in the log")
+        return json.loads(text)
+
+    def _current(self) -> tuple[int, dict[str, str]]:
         found = self.versions()
-        return self.spark.read.parquet(f"{self.path}/v={found[-1].split('-', 1)[1]}") if found else None
-
-    def write(self, df: DataFrame) -> None:
-        """A new version; if another writer committed meanwhile, this raises and changes nothing."""
-        before = len(self.versions())
-        name = uuid.uuid4().hex
-        df.write.parquet(f"{self.path}/v={name}")
-        if len(self.versions()) != before:
-            raise RuntimeError("the table changed while a version was written")
+        return (int(found[-1]) + 1, self._entry(found[-1])) if found else (0, {})
+
+    def read(self, parts: Iterable[str] | None = None) -> DataFrame | None:
+        """The newest version, or these parts of it; None if there is nothing.  A write that follows replaces this version and no other."""
+        self._seen, folders = self._current()
+        wanted = [f for p, f in sorted(folders.items()) if parts is None or p in set(parts)]
+        return self.spark.read.parquet(*[f"{self.path}/{f}" for f in wanted]) if wanted else None
+
+    def write(self, df: DataFrame, part: Column | None = None) -> None:
+        """A new version; if another one came since this table was last read, this raises and changes nothing.
+
+        With part, a string column of few values, only the parts that df has
+        rows of are replaced, else the whole table is.
+        """
+        number, before = self._current()
+        if self._seen is not None and number != self._seen:
+            raise RuntimeError("the table changed since it was read")
+        name = f"v={uuid.uuid4().hex}"
+        if part is None:
+            df.write.parquet(f"{self.path}/{name}")
+            after = {WHOLE: name}
+        else:
+            df.withColumn("part_", part).write.partitionBy("part_").parquet(f"{self.path}/{name}")
+            made = [s.getPath().getName() for s in self._fs.listStatus(self._p(f"{self.path}/{name}")) if s.isDirectory()]
+            after = before | {m.removeprefix("part_="): f"{name}/{m}" for m in made if m.startswith("part_=")}
         self._fs.mkdirs(self._p(f"{self.path}/_log"))
-        if not self._fs.createNewFile(self._p(f"{self.path}/_log/{before:012d}-{name}")):
-            raise RuntimeError("the table changed while a version was written")
+        try:
+            entry = self._fs.create(self._p(f"{self.path}/_log/{number:012d}"), False)  # fails if it is there
+        except Exception as taken:
+            raise RuntimeError("the table changed while a version was written") from taken
+        entry.write(bytearray(json.dumps(after), "utf-8"))
+        entry.close()
+        self._seen = number + 1
+        self._retire(after)
+
+    def _retire(self, after: dict[str, str]) -> None:
+        """Deletes the folders that only versions older than the last keep name, and their entries."""
+        found = self.versions()
+        old, kept = found[: -self.keep], found[-self.keep :]
+        held = {f for v in kept for f in self._entry(v).values()} | set(after.values())
+        for version in old:
+            for folder in set(self._entry(version).values()) - held:
+                self._fs.delete(self._p(f"{self.path}/{folder}"), True)
+            self._fs.delete(self._p(f"{self.path}/_log/{version}"), False)
 
 
 def write_month(df: DataFrame, path: str, month: str) -> None:

@@ -26,8 +26,8 @@ class PoliteReader:
     def __init__(self, get: Get, delay: float = 0.11, tries: int = 4, pause: Callable[[float], None] = time.sleep) -> None:
         self.get, self.delay, self.tries, self.pause = get, delay, tries, pause
 
-    def read(self, url: str, headers: dict[str, str] | None = None) -> bytes:
-        """The body; waits longer after each 429, shortly after a server's or transport's error, and raises Blocked when 429 or 403 stays."""
+    def read(self, url: str, headers: dict[str, str] | None = None, absent: tuple[int, ...] = (404,)) -> bytes:
+        """The body; waits longer after each 429, shortly after a server's or transport's error, and raises Blocked when 429 or 403 stays, Missing at once for a status of absent."""
         status = 0
         for n in range(self.tries):
             self.pause(self.delay)
@@ -39,7 +39,7 @@ class PoliteReader:
                 continue
             if status in (200, 206):
                 return body
-            if status == 404:
+            if status in absent:
                 raise Missing(url)
             self.pause(min(10 * self.delay * 2**n, 60.0) if status in (403, 429) else 2 * self.delay)
         if status in (403, 429):
@@ -55,6 +55,16 @@ class PoliteReader:
                 break
         return chunk
 
+    def listings(self, urls: Iterable[tuple[str, str]]) -> dict[str, bytes]:
+        """Bodies by quarter of quarter listings; a quarter that isn't published yet answers 403 or 404 and is left out."""
+        out = {}
+        for quarter, url in urls:
+            try:
+                out[quarter] = self.read(url, absent=(403, 404))
+            except Missing:
+                continue
+        return out
+
     def land(self, urls: Iterable[tuple[str, str]], folder: str) -> dict[str, str]:
         """Writes (name, url) files that the folder lacks; returns the error of each that failed.  Blocked ends the run."""
         failed = {}

@@ -6,8 +6,9 @@ that follows is parallel.
 
 from __future__ import annotations
 
-import io
+import gzip
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,20 +34,83 @@ def submissions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SUBMISSIONS).json(path, multiLine=True)
 
 
+#: Members of an archive that one task reads.
+MEMBERS = 2000
+
+
 def bulk_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """Profiles out of zip archives; continuation shards and members that don't parse are left out."""
+    """Profiles out of zip archives of any size; continuation shards and members that are damaged or don't parse are left out.
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A first pass reads the archives' directories alone and cuts them into ranges
+    of members, which are spread over tasks that read only their own; damaged
+    archives have no members.
+    """
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for raw in batch.column("content").to_pylist():
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                    for name in z.namelist():
-                        if name.startswith("CIK") and name.endswith(".json") and "-submissions-" not in name:
-                            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([z.read(name).decode("utf-8", "replace")])], names=["member", "json"])
+            for file in batch.column("path").to_pylist():
+                try:
+                    with _opened(file) as raw, zipfile.ZipFile(raw) as z:
+                        n = len(z.infolist())
+                except (zipfile.BadZipFile, ValueError):  # Arrow names a position before the file invalid
+                    n = 0
+                starts = list(range(0, n, MEMBERS))
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(starts), pa.string()), pa.array(starts, pa.int64())], names=["path", "start"])
 
-    raw = spark.read.format("binaryFile").load(path).select("content").mapInArrow(members, "member string, json string")
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                with _opened(row["path"]) as raw, zipfile.ZipFile(raw) as z:
+                    for info in z.infolist()[row["start"] : row["start"] + MEMBERS]:
+                        name = info.filename
+                        if not (name.startswith("CIK") and name.endswith(".json") and "-submissions-" not in name):
+                            continue
+                        try:
+                            text = z.read(info).decode("utf-8", "replace")
+                        except (zipfile.BadZipFile, ValueError, zlib.error, EOFError, NotImplementedError, RuntimeError):
+                            continue
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([text])], names=["member", "json"])
+
+    files = spark.read.format("binaryFile").load(path).select("path")  # names only; the contents aren't read
+    parts = files.mapInArrow(ranges, "path string, start long").repartition("path", "start")
     kind = spark.createDataFrame([], SUBMISSIONS).schema
-    return raw.select("member", F.from_json("json", kind).alias("p")).where("p.cik is not null").select("member", "p.*")
+    return parts.mapInArrow(members, "member string, json string").select("member", F.from_json("json", kind).alias("p")).where("p.cik is not null").select("member", "p.*")
+
+
+def _opened(uri: str):  # noqa: ANN202
+    """A seekable stream of a file of any file system that Arrow knows."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+    return system.open_input_file(name)
+
+
+def daily_index(spark: SparkSession, path: str) -> DataFrame:
+    """idx_date, line_no and value of the lines of daily index files (master.yyyymmdd.idx, also gzipped), which are Latin-1."""
+
+    @F.pandas_udf(StringType())
+    def text(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: (gzip.decompress(b) if bytes(b[:2]) == b"\x1f\x8b" else bytes(b)).decode("latin-1"))
+
+    files = spark.read.format("binaryFile").load(path)
+    day = iso_date(F.regexp_extract("path", r"\.([0-9]{8})\.idx(?:\.gz)?$", 1))
+    lines = files.select(day.alias("idx_date"), text("content").alias("text")).where("idx_date <> ''")
+    return lines.select("idx_date", F.posexplode(F.split("text", "\r?\n")).alias("line_no", "value"))
+
+
+def one_day(spark: SparkSession, path: str, tickers: DataFrame | None = None) -> DataFrame:
+    """The filings of landed daily index files."""
+    return index_lines(daily_index(spark, path), tickers)
+
+
+def quarter_listing_url(date: Column) -> Column:
+    """Address of the listing of a quarter's index files."""
+    return F.concat(F.lit("https://www.sec.gov/Archives/edgar/daily-index/"), F.year(date).cast("string"), F.lit("/QTR"), F.quarter(date).cast("string"), F.lit("/index.json"))
+
+
+def checked_date(c: Column) -> Column:
+    """The date of a yyyy-mm-dd argument; null for anything else."""
+    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 def index_lines(lines: DataFrame, tickers: DataFrame | None = None, line: str = "value", at: str = "line_no", key: str = "idx_date") -> DataFrame:
@@ -114,23 +178,40 @@ def decode_bytes(raw: pd.Series) -> pd.Series:
 def raw_submissions(spark: SparkSession, path: str) -> DataFrame:
     """accession_number and text of raw submission files; UTF-8 is decoded inside the JVM, other bytes in Arrow batches."""
     files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", ACCESSION_RE, 1).alias("accession_number"), "content")
-    good = F.is_valid_utf8(F.col("content").cast("string"))
-    plain = files.where(good).select("accession_number", F.col("content").cast("string").alias("text"))
-    return plain.unionByName(files.where(~good).select("accession_number", decode_bytes("content").alias("text")))
+    return files.select("accession_number", decoded_text(F.col("content")).alias("text"))
+
+
+def decoded_text(raw: Column) -> Column:
+    """The text of bytes: UTF-8 inside the JVM, and only other bytes go to Python; each file is read once."""
+    good = F.is_valid_utf8(raw.cast("string"))
+    return F.coalesce(F.when(good, raw.cast("string")), decode_bytes(F.when(~good, raw)))
+
+
+IDENTITY = ("cik", "ticker", "entity_name", "form_type", "filing_date", "accession_number", "source_url")
+
+
+def grouping_key(accession: Column, url: Column) -> Column:
+    """What facts of a filing are grouped by: its accession number, else the address that they came from."""
+    return F.coalesce(F.nullif(accession, F.lit("")), F.nullif(url, F.lit("")))
 
 
 def instances(df: DataFrame, content: str = "content", key: str = "filing_key") -> DataFrame:
-    """Facts of tagged instances (key, bytes); a file that doesn't parse gives one row with its error."""
-    slim = df.where(F.col(content).isNotNull()).select(F.col(key).cast("string").alias("filing_key"), F.col(content).cast("binary").alias("content"))
+    """Facts of tagged instances (key, bytes), with those of the identity columns that df has; a file that doesn't parse gives one row with its error.
+
+    Rows without content, such as filings without an instance, are skipped.
+    """
+    identity = [c for c in IDENTITY if c in df.columns and c != key]
+    slim = df.where(F.col(content).isNotNull()).select(F.col(key).cast("string").alias("filing_key"), F.col(content).cast("binary").alias("content"), *[F.col(c).cast("string").alias(c) for c in identity])
+    schema = pa.schema([*_ARROW, *[(c, pa.string()) for c in identity]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = [{"filing_key": name, **r} for r in parse_instance(raw)]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+            stamps = batch.select([c for c in batch.schema.names if c != "content"]).to_pylist()
+            for stamp, raw in zip(stamps, batch.column("content").to_pylist()):
+                if rows := [{**r, **stamp} for r in parse_instance(raw)]:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return slim.mapInArrow(run, FACT_SCHEMA)
+    return slim.mapInArrow(run, FACT_SCHEMA + "".join(f", {c} string" for c in identity))
 
 
 _ARROW = pa.schema(

@@ -23,11 +23,17 @@ def read_new(spark: SparkSession, path: str, schema: str, files_per_batch: int |
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
+#: The year of an accession number, "none" where there is none.
+_YEAR = "coalesce(nullif(regexp_extract(accession_number, '-([0-9]{2})-', 1), ''), 'none')"
+
+
 def ingest(stream: DataFrame, filings: SnapshotTable, runs: SnapshotTable, checkpoint: str, order: str) -> StreamingQuery:
     """Merges each micro-batch of filings into the table, once: a batch that the run table holds is skipped on replay.
 
-    A run is written after its merge; a merge that is repeated since the run
-    wasn't written gives the same rows but for last_seen_run and updated_at.
+    The table's parts are the years in the accession numbers, so a batch
+    rewrites only the years that it has rows of.  A run is written after its
+    merge; a merge that is repeated since the run wasn't written gives the same
+    rows but for last_seen_run and updated_at.  A batch without rows is a run too.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -35,12 +41,18 @@ def ingest(stream: DataFrame, filings: SnapshotTable, runs: SnapshotTable, check
         if done is not None and done.where(F.col("batch_id") == batch_id).limit(1).count():
             return
         now = F.current_timestamp()
-        incoming = lg.last_of_batch(batch, order)
-        stored = filings.read()
-        if stored is None:
-            stored = lg.upserted(_blank(incoming), incoming, F.lit(batch_id), now).limit(0)
-        filings.write(lg.upserted(stored, incoming, F.lit(batch_id), now))
-        entry = batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"), now.alias("at"))
+        incoming = lg.last_of_batch(batch, order).withColumn("year_", F.expr(_YEAR)).persist()
+        try:
+            years = {r["year_"]: r["count"] for r in incoming.groupBy("year_").count().collect()}  # one row a year
+            rows = incoming.drop("year_")
+            if years:
+                stored = filings.read(years)
+                if stored is None:
+                    stored = lg.upserted(_blank(rows), rows, F.lit(batch_id), now).limit(0)
+                filings.write(lg.upserted(stored, rows, F.lit(batch_id), now), F.expr(_YEAR))
+        finally:
+            incoming.unpersist()
+        entry = batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"), now.alias("at"), F.lit(sum(years.values())).cast("long").alias("rows"))
         runs.write(entry if done is None else done.unionByName(entry))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -74,6 +86,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; where it is unset (tests) one of our own."""
     held = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         held = tempfile.mkdtemp(prefix="filigree-")
         atexit.register(shutil.rmtree, held, ignore_errors=True)
     return held

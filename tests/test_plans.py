@@ -1,10 +1,12 @@
+import gzip
 import json
+import zipfile
 
 import pytest
 
 from filigree.operators import derived
 from filigree.plans import filing
-from filigree.sources import fetch
+from filigree.sources import fetch, landing
 from test_operators import SUBMISSION
 
 
@@ -62,3 +64,40 @@ def test_polite_reader(tmp_path):
     assert reader((206, b"y" * 12_000), (206, b"z</SEC-HEADER>"))[0].read_head("u") == b"z</SEC-HEADER>"
     assert reader((200, b"a"), (404, b""))[0].land([("f", "u"), ("g", "v")], str(tmp_path)) == {"g": "v"}
     assert (tmp_path / "f").read_bytes() == b"a" and reader()[0].land([("f", "u")], str(tmp_path)) == {}
+
+
+def test_quarters_that_are_not_published():
+    r, _ = reader((200, b"a"), (403, b""), (404, b""))
+    assert r.listings([("q1", "u"), ("q2", "v"), ("q3", "w")]) == {"q1": b"a"}
+
+
+def test_daily_index_files(spark, tmp_path):
+    body = "Description: x\nCIK|Company Name|Form Type|Date Filed|File Name\n" + "-" * 40 + "\n1|Nestl\xe9|10-K|20240105|edgar/data/1/0000000001-24-000001.txt\nbad line\n"
+    (tmp_path / "master.20240105.idx").write_bytes(body.encode("latin-1"))
+    (tmp_path / "master.20240108.idx.gz").write_bytes(gzip.compress(body.replace("|10-K|", "|8-K|").encode("latin-1")))
+    got = sorted(tuple(r) for r in landing.one_day(spark, str(tmp_path)).select("idx_date", "cik", "entity_name", "form_type", "filing_date").collect())
+    assert got == [("2024-01-05", 1, "Nestl\xe9", "10-K", "2024-01-05"), ("2024-01-08", 1, "Nestl\xe9", "8-K", "2024-01-05")]
+
+
+def test_damaged_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "MEMBERS", 2)
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(5):
+            z.writestr(f"CIK{i}.json", json.dumps({"cik": str(i), "name": "N" * 200}))
+        z.writestr("CIK0-submissions-001.json", "{}")
+    raw = bytearray((tmp_path / "a.zip").read_bytes())
+    at = raw.index(b"CIK3.json") + len("CIK3.json") + 3
+    raw[at : at + 8] = b"\xff" * 8
+    (tmp_path / "a.zip").write_bytes(bytes(raw))
+    (tmp_path / "b.zip").write_bytes(b"no archive")
+    assert sorted(r["cik"] for r in landing.bulk_profiles(spark, str(tmp_path)).collect()) == ["0", "1", "2", "4"]
+
+
+def test_texts_of_any_charset_and_identity(spark, tmp_path):
+    for i, raw in enumerate(("é".encode(), b"\x93x\x94", b"\x81y")):
+        (tmp_path / f"0000000001-24-00000{i}.txt").write_bytes(raw)
+    got = {r["accession_number"][-1]: r["text"] for r in landing.raw_submissions(spark, str(tmp_path)).collect()}
+    assert got == {"0": "é", "1": "\u201cx\u201d", "2": "\x81y"}
+    df = spark.createDataFrame([("k", None, 1, "T"), ("l", b"<x", 2, "U")], "filing_key string, content binary, cik long, ticker string")
+    row = landing.instances(df).collect()
+    assert [(r["filing_key"], r["cik"], r["ticker"], r["error"] is not None) for r in row] == [("l", "2", "U", True)]

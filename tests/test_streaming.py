@@ -42,6 +42,57 @@ def test_snapshots(spark, tmp_path):
     assert month_before(spark, str(tmp_path / "months"), "2025-01") is None and month_before(spark, str(tmp_path / "none"), "2025-01") is None
 
 
+def test_interleaved_writers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    a, b = SnapshotTable(spark, path), SnapshotTable(spark, path)
+    a.write(spark.range(1))
+    assert a.read().count() == b.read().count() == 1
+    a.write(spark.range(2))
+    with pytest.raises(RuntimeError):
+        b.write(spark.range(3))
+    assert b.read().count() == 2
+    real = SnapshotTable._current
+    stale = real(b)
+    a.write(spark.range(4))
+    b._current, b._seen = lambda: stale, stale[0]  # it looked just before the other one committed
+    with pytest.raises(RuntimeError):
+        b.write(spark.range(5))
+    del b._current
+    assert b.read().count() == 4 and len(b.versions()) == 3
+
+
+def test_parts_and_retired_versions(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), keep=2)
+    rows = lambda *r: spark.createDataFrame(r, "k string, n int")
+    t.write(rows(("a", 1), ("b", 1)), F.col("k"))
+    first = t._current()[1]
+    t.write(rows(("b", 2)), F.col("k"))
+    t.write(rows(("c", 3)), F.col("k"))
+    assert sorted(tuple(r) for r in t.read().select("k", "n").collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert [tuple(r) for r in t.read(["b"]).collect()] == [("b", 2)] and t.read(["z"]) is None
+    folders = {p.name for p in (tmp_path / "t").glob("v=*/part_=*")}
+    assert folders == {"part_=a", "part_=b", "part_=c"} and len(t.versions()) == 2
+    assert t._current()[1]["a"] == first["a"] and not (tmp_path / "t" / first["b"]).exists()
+
+
+def test_a_batch_rewrites_its_years(spark, tmp_path):
+    landing, table, runs = (str(tmp_path / n) for n in ("in", "filings", "runs"))
+    schema = SCHEMA
+    spark.createDataFrame([("1-23-1", 1, "A", "10-K", 0, 0), ("1-24-1", 1, "A", "10-K", 0, 1)], schema).write.parquet(landing)
+
+    def run():
+        t = SnapshotTable(spark, table)
+        incremental.ingest(incremental.read_new(spark, landing, schema), t, SnapshotTable(spark, runs), str(tmp_path / "c"), "pos").awaitTermination()
+        return t._current()[1]
+
+    first = run()
+    spark.createDataFrame([("1-24-2", 2, "B", "8-K", 0, 0)], schema).write.mode("append").parquet(landing)
+    second = run()
+    assert first.keys() == second.keys() == {"23", "24"} and first["23"] == second["23"] and first["24"] != second["24"]
+    assert SnapshotTable(spark, table).read().count() == 3
+    assert sorted(r["rows"] for r in SnapshotTable(spark, runs).read().collect()) == [1, 2]
+
+
 def test_failed_days_stay(spark):
     ledger = spark.createDataFrame([("d1", "failed"), ("d2", "parsed")], "idx_date string, status string")
     found = spark.createDataFrame([("d2",), ("d3",)], "idx_date string")
