@@ -162,3 +162,12 @@ def slug(*parts: Column) -> Column:
     """A file name of the parts."""
     out = F.regexp_replace(F.regexp_replace(F.concat_ws("_", *map(blank_to_null, parts)), "[^A-Za-z0-9._-]+", "_"), "^_+|_+$", "")
     return F.coalesce(blank_to_null(out), F.lit("filing"))
+
+
+def with_base(html: Column, href: Column) -> Column:
+    """Markup with a base address after its first head tag, or in front where it has none."""
+    tag = F.concat(F.lit('<base href="'), href, F.lit('">'))
+    at = F.regexp_instr(html, F.lit(r"(?i)<head(\s[^>]*)?>"))
+    head = F.regexp_extract(html, r"(?i)<head(?:\s[^>]*)?>", 0)
+    cut = at + F.length(head) - 1
+    return F.when(at > 0, F.concat(F.substring(html, F.lit(1), cut), tag, F.substring(html, cut + 1, F.length(html)))).otherwise(F.concat(tag, html))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from filigree import data
 from filigree.functions import ratio as rt
 from filigree.functions.text import joined
+from filigree.functions.text import sentences as tx_sentences
 
 CONFIDENCE = ("high", "medium", "low", "review")
 
@@ -200,6 +202,80 @@ def review_stats(store: DataFrame) -> DataFrame:
     return store.agg(F.count(F.lit(1)).alias("n_facts"), F.count_distinct("cik").alias("n_companies"), *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("pending", "approved", "rejected", "edited")])
 
 
+STATUSES = ("pending", "approved", "rejected", "edited")
+
+
+def review_status(c: Column) -> Column:
+    """A known review status; anything else is pending."""
+    return F.when(c.isin(*STATUSES), c).otherwise("pending")
+
+
+def company_counts(store: DataFrame) -> DataFrame:
+    """cik, n_facts and n_pending."""
+    return store.groupBy("cik").agg(F.count(F.lit(1)).alias("n_facts"), F.count_if(F.col("status") == "pending").alias("n_pending"))
+
+
+def recent_facts(store: DataFrame, k: int = 14) -> DataFrame:
+    """The k facts that changed last; the limit is the feature."""
+    return store.orderBy(F.desc("updated_utc"), "cik", "kind").limit(k)
+
+
+def subsectors_of(df: DataFrame, sector: str) -> DataFrame:
+    """df with the array of (code, name) of the subsectors of the sector code in a column."""
+    table = data.industry_table(df.sparkSession).groupBy(F.col("sector_code").alias("sector_")).agg(F.array_sort(F.collect_set(F.struct(F.col("subsector_code").alias("code"), F.col("subsector").alias("name")))).alias("subsectors"))
+    return df.join(F.broadcast(table), F.col(sector) == F.col("sector_"), "left").drop("sector_")  # 45 rows
+
+
+RATIO_SCHEMA, SECTOR_SCHEMA = "ratio double, underlying string", "name string"
+
+
+def ratio_evidence(text: Column, limit: int = 5) -> Column:
+    """Up to limit sentences that a model may be asked about: of depositary shares, without holder counts and percentages."""
+    found = F.filter(tx_sentences(text), lambda s: s.rlike("(?i)american depositar|\\bADSs?\\b") & s.rlike("(?i)represent|ratio") & ~s.rlike("(?i)holders? of record|%|per ?cent"))
+    return F.slice(found, 1, limit)
+
+
+def model_ratio(df: DataFrame, text: str, load: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """df with model_ratio and model_underlying that a model reads out of the candidate sentences; a ratio must lie between 0.0001 and 100.
+
+    Texts without a candidate aren't shown to the model.
+    """
+    found = ratio_evidence(F.col(text))
+    prompt = F.when(F.size(found) > 0, F.concat(F.lit("How many shares does one depositary share represent?\n"), F.array_join(found, "\n")))
+    asked = with_model(df.withColumn("prompt_", prompt), "prompt_", "m_", load, RATIO_SCHEMA)
+    good = F.col("m_.ratio").between(1e-4, 100)
+    return asked.withColumn("model_ratio", F.when(good, F.col("m_.ratio"))).withColumn("model_underlying", F.when(good, F.col("m_.underlying"))).drop("prompt_", "m_")
+
+
+def model_sector(df: DataFrame, text: str, load: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """df with sector_code and subsector_code that a model chooses by name.
+
+    A first question is for the sector, a second for one of its subsectors; a
+    sector of one subsector needs no second one.  A name that isn't offered gives null.
+    """
+    table = data.industry_table(df.sparkSession)
+    sectors = table.select(F.col("sector_code"), F.lower("sector").alias("n_")).distinct()
+    offered = ", ".join(dict.fromkeys(r[5] for r in data.industries()))
+    first = with_model(df.withColumn("prompt_", F.when(F.col(text).isNotNull(), F.concat(F.lit(f"Sector, one of: {offered}\n"), text))), "prompt_", "m_", load, SECTOR_SCHEMA)
+    first = first.withColumn("n_", F.lower(F.trim("m_.name"))).join(F.broadcast(sectors), "n_", "left").drop("n_", "m_", "prompt_")  # 45 rows
+    held = subsectors_of(first, "sector_code")
+    several = F.size("subsectors") > 1
+    prompt = F.when(several, F.concat(F.lit("Subsector, one of: "), F.array_join(F.transform("subsectors", lambda s: s["name"]), ", "), F.lit("\n"), F.col(text)))
+    second = with_model(held.withColumn("prompt_", prompt), "prompt_", "m_", load, SECTOR_SCHEMA)
+    chosen = F.get(F.filter("subsectors", lambda s: F.lower(s["name"]) == F.lower(F.trim(F.col("m_.name")))), F.lit(0))["code"]
+    only = F.when(F.size("subsectors") == 1, F.get("subsectors", F.lit(0))["code"])
+    return second.withColumn("subsector_code", F.coalesce(only, chosen)).drop("subsectors", "prompt_", "m_")
+
+
+def generated(df: DataFrame, prompt: str, out: str, load: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """df with a model's free answer to the prompt; null prompts have null answers."""
+    return with_model(df, prompt, "answer_", lambda: _quoted_answers(load()), "a string").withColumn(out, F.col("answer_.a")).drop("answer_")
+
+
+def _quoted_answers(model: Callable[[str], str]) -> Callable[[str], str]:
+    return lambda question: json.dumps({"a": model(question)})
+
+
 def headline(kind: Column, payload: Column) -> Column:
     """One line for a fact's JSON payload."""
     at = lambda k: F.get_json_object(payload, f"$.{k}")

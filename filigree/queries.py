@@ -610,3 +610,6 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filigree.streaming.incremental import stream_counts
 
     return stream_counts(spark, f"{sf_dir}/events.parquet", _table(spark, sf_dir, "events").schema, ["event_type"])
+
+
+from filigree import more_queries  # noqa: E402, F401  registers its queries
