@@ -125,7 +125,8 @@ def extract(pages: DataFrame, weight: dict[str, int], page_id: str = "page_id",
 
     content has the words of the region parted by blanks, with the ENTITIES
     decoded; a null or empty page, or one without words, has empty content,
-    tokens 0 and score 0.  Repeated rows give repeated rows.
+    tokens 0 and score 0.  Repeated rows give repeated rows, an empty table an
+    empty one.
     """
     slim = pages.select(F.col(page_id).alias("page_id"), F.col(html).alias("html"))
 

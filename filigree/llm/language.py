@@ -121,7 +121,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
 
 
 def tag(docs: DataFrame, model: Model, text: str = "text", out: str = "language", sure: str = "confidence") -> DataFrame:
-    """docs with columns out and sure, which replace columns of these names; null and wordless texts are unknown with confidence 0."""
+    """docs with columns out and sure, which replace columns of these names; null and wordless texts are unknown with confidence 0.
+
+    Texts are read whole, however long.  Repeated rows give repeated rows, an
+    empty table an empty one.
+    """
     docs = without(docs, out, sure)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType()), T.StructField(sure, T.DoubleType())])
 

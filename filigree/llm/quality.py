@@ -203,7 +203,11 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "
 
 
 def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """doc_id, quality_score and keep of every document; null and empty texts are rejected, an empty table gives an empty one."""
+    """doc_id, quality_score and keep of every document.
+
+    Null and empty texts are rejected, an empty table gives an empty one,
+    repeated rows give repeated rows; rows without id are classified too.
+    """
     weights, _ = fit(docs, doc_id, text)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return score(slim, weights).drop("text").withColumn("keep", F.col("quality_score") >= threshold)

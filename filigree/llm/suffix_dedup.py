@@ -163,7 +163,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text:
     document that also occurs earlier, in order of (doc_id, word position),
     anywhere.  starts and ends are the first words and the words after the last
     of the maximal runs of repeated words, counted from 0.  Ids are integers;
-    rows without id or text repeat nothing, rows of one id count as one.
+    rows without id or text repeat nothing, rows of one id count as one, and an
+    empty table gives an empty one.  A text of any length is in one shard.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text <> ''")

@@ -1,8 +1,11 @@
 import random
 
 import numpy as np
+import plain
 import pytest
 
+from pyspark.sql import functions as F
+
 from filigree.llm import language, quality
 from helpers import DOCS, documents
 
@@ -110,3 +113,33 @@ def test_quality_odd_rows(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < len(rows)
     scored = quality.score(docs, quality.fit(docs)[0])
     assert scored.columns.count("quality_score") == 1
+
+
+def test_votes_equal_the_plain_ones():
+    texts = [t for _, t in mixed_quality(8, 200)[0]] + ["a b", "x", "\n\n", "The the THE the of a.", "é | ü\n" * 9, "word " * 70]
+    assert quality.labeller_votes(texts).tolist() == [plain.votes(t) for t in texts]
+
+
+def test_quality_equals_the_plain_version(spark):
+    rows, _ = mixed_quality(7, 110)
+    rows += [(1000, None), (1001, ""), (1002, rows[0][1])]
+    want = dict(zip([i for i, _ in rows], plain.quality_scores([t for _, t in rows])))
+    got = {r["doc_id"]: (r["quality_score"], r["keep"]) for r in quality.classify(documents(spark, rows)).collect()}
+    assert got.keys() == want.keys()
+    assert max(abs(got[i][0] - want[i]) for i in want) < 0.01
+    assert all(got[i][1] == (want[i] >= 0.3) for i in want if abs(want[i] - 0.3) > 0.01)
+    judged = {r["doc_id"]: r["posterior"] for r in quality.fit(documents(spark, rows))[1].collect()}
+    known = [(i, t) for i, t in rows if t]
+    assert max(abs(judged[i] - p) for (i, _), p in zip(known, plain.posteriors([plain.votes(t) for _, t in known]))) < 1e-6
+
+
+def test_language_equals_the_plain_version(spark):
+    rows = labelled(9, 90)
+    model = language.fit(spark.createDataFrame(rows, DOCS))
+    ordered = spark.createDataFrame(rows, DOCS).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    identify = plain.language_model([r["text"] for r in ordered], [r["lang"] for r in ordered])
+    texts = [(i, t) for i, t, *_ in labelled(10, 60)] + [(1000, None), (1001, "12 !"), (1002, "zzzz qqqq xxxx")]
+    for r in language.tag(documents(spark, texts), model).collect():
+        found, sure = identify(r["text"])
+        assert abs(r["confidence"] - sure) < 1e-3
+        assert r["language"] == found or abs(sure - model.least) < 1e-3

@@ -87,3 +87,13 @@ def test_empty_table_and_extra_columns(spark):
     docs = documents(spark, [(1, "a b"), (2, "a b")]).selectExpr("*", "1 as starts", "2 as ends", "3 as zone")
     out = s.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == 2
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    long = " ".join(word() for _ in range(450_000))  # more than a shard holds
+    rows = [(1, f"{long} {passage}"), (2, f"{passage} {word()}"), (3, " ".join(word() for _ in range(300_000)) + f" {passage} {word()}")]
+    got = {r["doc_id"]: (r["starts"], r["ends"]) for r in s.repeats(documents(spark, rows)).collect()}
+    assert got == {2: ([0], [60]), 3: ([300_000], [300_060])}
