@@ -15,27 +15,50 @@ from filigree.llm.common import stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """The rows of docs, all columns, that the quality classifier keeps.
+
+    Null and empty texts are rejected; rows without id are judged like others.
+    Repeated rows stay or go together.  An empty table gives an empty one.
+    """
     return quality.kept(docs)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of smallest id."""
+    """Of each class of near copies the document of smallest id.
+
+    Rows without id and documents without words are in no class and stay.
+    Repeated rows of an id stay together.  An empty table gives an empty one.
+    """
     return jaccard_join.unique(docs)
 
 
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that earlier documents hold."""
+    """Texts without the passages of 50 words and more that stand earlier, in order of (doc_id, word), and n_chars counted anew.
+
+    Rows without id, null and empty texts stay as they are; a document of which
+    no word is left goes.  Repeated rows of an id are cut alike.  An empty table
+    gives an empty one.
+    """
     return suffix_dedup.without_repeats(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The target mixture; a document comes once for each epoch that takes it."""
+    """The target mixture; a document comes once for each epoch that takes it.
+
+    Documents without a token (null, empty, blank) are never taken; null languages
+    and sources are leaves named ''.  Rows of equal id have equal keys and are
+    taken or left together.  An empty table gives an empty one.
+    """
     return mixing.mix(docs, mixing.document_tree(), mixing.WEIGHTS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of documents with ids, n_ids and round_trip."""
+    """The columns of documents with ids, n_ids and round_trip.
+
+    A null text has null ids, n_ids 0 and a null round_trip, an empty one has
+    empty ids.  Every row stays, repeated ones repeated.  An empty table gives an
+    empty one.
+    """
     return sentencepiece_codec.encode(docs)
 
 
@@ -46,7 +69,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixed),
     ("SentencePiece", encoded),
 ]
-#: The classifier and the tokenizer are beyond SQL; tests hold every stage against a brute-force version.
+#: The classifier and the tokenizer are beyond SQL; tests hold every stage against a brute-force version, the last one against the tokenizer's library.
 ORACLE_SQL = None
 
 
