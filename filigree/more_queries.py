@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filigree import data
 from filigree.functions import text as tx
 from filigree.operators import derived, facts, idioms, manifest
-from filigree.queries import _FILINGS_SQL, _STORE_SQL, _day, _filings, _query, _store, _table, _values
+from filigree.queries import _FILINGS_SQL, _STORE_SQL, _day, _filings, _query, _spread, _store, _table, _values
 from filigree.sources import landing
 
 # ---- everyday operations
@@ -144,7 +144,7 @@ def instance_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<xbrl xmlns='http://www.xbrl.org/2003/instance' xmlns:d='http://xbrl.org/2006/xbrldi' xmlns:u='http://fasb.org/us-gaap/2024' xmlns:e='http://xbrl.sec.gov/dei/2024' xmlns:xsi='http://www.w3.org/2001/XMLSchema-instance'><!-- two facts --><context id='a'>"), who, F.lit("<segment><d:explicitMember dimension='us:ClassAxis'>us:A"), c % 3, F.lit("</d:explicitMember></segment></entity><period><instant>"), day, F.lit("</instant></period></context><context id='b'>"), who, F.lit("</entity><period><startDate>"), day,
         F.lit("</startDate><endDate>2030-01-01</endDate></period></context><unit id='x'><divide><unitNumerator><measure>iso:USD</measure></unitNumerator><unitDenominator><measure>shares</measure></unitDenominator></divide></unit><u:Revenue contextRef='a' unitRef='x' decimals='0'> "), k * 3, F.lit(" </u:Revenue><e:DocumentType contextRef='b'"), F.when(k % 4 == 0, " xsi:nil='true'/>").otherwise(">10-K</e:DocumentType>"), F.lit("</xbrl>"),
     )
-    found = landing.instances(_table(spark, sf_dir, "orders").select(k.alias("filing_key"), xml.cast("binary").alias("content")))
+    found = landing.instances(_spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey").select(k.alias("filing_key"), xml.cast("binary").alias("content")))
     return found.select("filing_key", F.concat(F.lit("ordinal"), "ordinal").alias("kind"), "ordinal", "concept", "value", "value_num", "unit", "period", "period_type", "entity_cik", "segment", "is_dimensioned", "is_nil")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from filigree.sources.instance import FACT_SCHEMA, parse_instance
+from filigree.sources.instance import FACT_SCHEMA, FACTS, parse_instances
 
 _ADDRESS = "street1 string, street2 string, city string, stateOrCountry string, stateOrCountryDescription string, zipCode string"
 _RECENT = "form array<string>, accessionNumber array<string>, filingDate array<string>, primaryDocument array<string>, reportDate array<string>, fileNumber array<string>, act array<string>, size array<bigint>, isXBRL array<int>, isInlineXBRL array<int>"
@@ -195,6 +195,10 @@ def grouping_key(accession: Column, url: Column) -> Column:
     return F.coalesce(F.nullif(accession, F.lit("")), F.nullif(url, F.lit("")))
 
 
+#: Documents that are turned into Python objects at once, and rows from which a batch is handed on.
+PARSED, FACT_ROWS = 200, 5000
+
+
 def instances(df: DataFrame, content: str = "content", key: str = "filing_key") -> DataFrame:
     """Facts of tagged instances (key, bytes), with those of the identity columns that df has; a file that doesn't parse gives one row with its error.
 
@@ -206,10 +210,22 @@ def instances(df: DataFrame, content: str = "content", key: str = "filing_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stamps = batch.select([c for c in batch.schema.names if c != "content"]).to_pylist()
-            for stamp, raw in zip(stamps, batch.column("content").to_pylist()):
-                if rows := [{**r, **stamp} for r in parse_instance(raw)]:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            stamps, contents = batch.select([c for c in batch.schema.names if c != "content"]), batch.column("content")
+            rows: list[tuple] = []
+            where: list[int] = []
+            for start in range(0, batch.num_rows, PARSED):
+                for i, found in enumerate(parse_instances(contents.slice(start, PARSED).to_pylist()), start):
+                    rows += found
+                    where += [i] * len(found)
+                    if len(rows) >= FACT_ROWS:
+                        yield built(rows, where, stamps)
+                        rows, where = [], []
+            if rows:
+                yield built(rows, where, stamps)
+
+    def built(rows: list[tuple], where: list[int], stamps: pa.RecordBatch) -> pa.RecordBatch:
+        by_name = dict(zip(FACTS, zip(*rows))) | dict(zip(stamps.schema.names, stamps.take(pa.array(where)).columns))
+        return pa.RecordBatch.from_arrays([c if isinstance(c := by_name[f.name], pa.Array) else pa.array(c, f.type) for f in schema], schema=schema)
 
     return slim.mapInArrow(run, FACT_SCHEMA + "".join(f", {c} string" for c in identity))
 

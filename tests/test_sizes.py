@@ -4,8 +4,11 @@ import datetime
 
 import duckdb
 
+import pytest
+
 from filigree import queries
-from test_queries import norm
+from filigree.sources import instance
+from test_queries import SF, norm
 
 
 def same_as_sql(spark, name, folder):
@@ -25,3 +28,19 @@ def test_upsert_of_orders_that_share_an_accession_number(spark, tmp_path):
     rows = [(k, c, "O", 1.5, day, "1-URGENT") for k, c in ((4, 7), (1_000_004, 7), (2_000_004, 7), (5, 8), (1_000_005, 8), (6, 9))]
     spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
     assert len(same_as_sql(spark, "upsert_merge", tmp_path)) > 3
+
+
+@pytest.mark.parametrize("name", ["instance_parse"])
+def test_costly_rows_of_a_small_file_are_spread(spark, name):
+    assert queries.QUERIES[name](spark, SF).rdd.getNumPartitions() >= 4
+
+
+def test_small_instances_read_together_give_what_each_gives_alone():
+    good = b"<x xmlns:g='g'><g:A contextRef='c'>1</g:A></x>"
+    raws = [good, None, b"", good, b"<x>", b"</x>", good, b"<x></x><y></y>", b"</r><r>", b"<mark></mark>", b"<?xml version='1.0'?>" + good, b"<x>&nbsp;</x>", b"<x/>&#32;<!-- --><y></y>", good] * 7
+    got = [[dict(zip(instance.FACTS, r)) for r in rows] for rows in instance.parse_instances(raws)]
+    assert len(got) == len(raws)
+    for raw, rows in zip(raws, got):
+        alone = instance.parse_instance(raw)
+        assert [r["error"] for r in rows] == [r["error"] for r in alone] and [r["value"] for r in rows] == [r.get("value") for r in alone]
+    assert [r["value"] for r in got[3]] == ["1"]
