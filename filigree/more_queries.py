@@ -222,7 +222,7 @@ def relative_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     n = F.get(F.array(*map(F.lit, ("two", "three", "four"))), (k % 3).cast("int"))
     first = F.concat(F.lit("Our Class A common stock has "), n, F.lit(" votes per share. Each share of Class B Common Stock has 1/10,000 of the voting rights of a share of Class A Common Stock."), F.when(k % 2 == 0, " Once Class A common stock had nine votes per share.").otherwise(""))
-    texts = _table(spark, sf_dir, "customer").select(k.alias("cik"), F.inline(F.array(F.struct(F.lit(0).alias("source_rank"), first.alias("text")), F.struct(F.lit(1).alias("source_rank"), F.lit("Class C common stock has seven votes per share.").alias("text")))))
+    texts = _spread(_table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(k.alias("cik"), F.inline(F.array(F.struct(F.lit(0).alias("source_rank"), first.alias("text")), F.struct(F.lit(1).alias("source_rank"), F.lit("Class C common stock has seven votes per share.").alias("text")))))
     return derived.voting_rights(texts).select("cik", "class_label", F.round("votes_per_share", 6).alias("votes"), "confidence")
 
 

@@ -6,9 +6,11 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from filigree import data
 from filigree.functions import ratio as rt
@@ -113,9 +115,9 @@ def adr_ratios(securities: DataFrame, texts: DataFrame | None = None, key: str =
     return every.withColumn("confidence", F.when(F.col("method").isNull(), "low").otherwise("high")).withColumn("display", ratio_display(F.col("shares_per_ads"), F.col("underlying")))
 
 
-@F.pandas_udf(T.ArrayType(_VOTE))
-def vote_statements(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: [dict(zip(("class_label", "votes", "relative_to", "evidence"), v)) for v in rt.votes(t)])
+@F.arrow_udf(T.ArrayType(_VOTE))
+def vote_statements(texts: pa.Array) -> pa.Array:
+    return pa.array([[dict(zip(_VOTE.names, v)) for v in rt.votes(t)] for t in texts.to_pylist()], to_arrow_type(T.ArrayType(_VOTE)))
 
 
 def voting_rights(texts: DataFrame, key: str = "cik") -> DataFrame:
@@ -123,16 +125,20 @@ def voting_rights(texts: DataFrame, key: str = "cik") -> DataFrame:
 
     Of several sources the first that states anything counts.  Relative votes
     are multiplied with the class that they refer to.  Statements that agree
-    give confidence high, others review and the first value.
+    give confidence high, others review and the first value.  Each text is read
+    once; a key's statements are brought together once and resolved in place.
     """
     rows = texts.select(key, "source_rank", F.posexplode(vote_statements("text")).alias("pos", "v")).select(key, "source_rank", "pos", "v.*")
-    rows = rows.withColumn("best_", F.min("source_rank").over(Window.partitionBy(key))).where("source_rank = best_")
-    absolute = rows.where("relative_to is null").groupBy(key, "class_label").agg(F.min_by("votes", "pos").alias("base_"))
-    ref = absolute.withColumnRenamed("class_label", "relative_to")
-    resolved = rows.join(ref, [key, "relative_to"], "left").withColumn("n_", F.when(F.col("relative_to").isNull(), F.col("votes")).otherwise(F.col("votes") * F.col("base_"))).where("n_ is not null")
+    packed = rows.groupBy(key).agg(F.min("source_rank").alias("best_"), F.array_sort(F.collect_list(F.struct("source_rank", "pos", "class_label", "votes", "relative_to", "evidence"))).alias("a_"))
+    packed = packed.withColumn("a_", F.filter("a_", lambda x: x["source_rank"] == F.col("best_")))
+    absolute = F.filter("a_", lambda x: x["relative_to"].isNull())
+    classes = F.array_distinct(F.transform(absolute, lambda x: x["class_label"]))
+    first = lambda c: F.get(F.filter("a_", lambda x: x["relative_to"].isNull() & (x["class_label"] == c)), F.lit(0))["votes"]
+    packed = packed.withColumn("base_", F.map_from_entries(F.transform(classes, lambda c: F.struct(c.alias("k"), first(c).alias("v")))))
+    resolved = packed.select(key, "base_", F.inline("a_")).withColumn("n_", F.when(F.col("relative_to").isNull(), F.col("votes")).otherwise(F.col("votes") * F.try_element_at("base_", F.col("relative_to")))).where("n_ is not null")
     return resolved.groupBy(key, "class_label").agg(
         F.min_by("n_", "pos").alias("votes_per_share"),
-        F.when(F.count_distinct("n_") == 1, "high").otherwise("review").alias("confidence"),
+        F.when(F.min("n_") == F.max("n_"), "high").otherwise("review").alias("confidence"),
         F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("pos", "evidence"))), lambda x: x["evidence"])), "\n").alias("evidence"),
     )
 

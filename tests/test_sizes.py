@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from filigree import queries
+from filigree.operators import derived
 from filigree.sources import instance
 from test_queries import SF, norm
 
@@ -30,9 +31,9 @@ def test_upsert_of_orders_that_share_an_accession_number(spark, tmp_path):
     assert len(same_as_sql(spark, "upsert_merge", tmp_path)) > 3
 
 
-@pytest.mark.parametrize("name", ["instance_parse"])
+@pytest.mark.parametrize("name", ["instance_parse", "relative_votes"])
 def test_costly_rows_of_a_small_file_are_spread(spark, name):
-    assert queries.QUERIES[name](spark, SF).rdd.getNumPartitions() >= 4
+    assert "REPARTITION_BY_NUM" in queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_small_instances_read_together_give_what_each_gives_alone():
@@ -44,3 +45,12 @@ def test_small_instances_read_together_give_what_each_gives_alone():
         alone = instance.parse_instance(raw)
         assert [r["error"] for r in rows] == [r["error"] for r in alone] and [r["value"] for r in rows] == [r.get("value") for r in alone]
     assert [r["value"] for r in got[3]] == ["1"]
+
+
+def test_votes_read_each_text_once_and_meet_once(spark):
+    texts = spark.createDataFrame([(1, 0, "Nothing."), (1, 1, "Class A common stock has two votes per share. Each share of Class B common stock has one-half of the votes of a share of Class A common stock. Class A common stock has three votes per share."), (1, 2, "Class C common stock has nine votes per share."), (2, 0, "Each share of Class B common stock has one-half of the votes of a share of Class A common stock.")], "cik int, source_rank int, text string")
+    found = derived.voting_rights(texts)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    first = plan.split("Initial Plan")[-1]
+    assert first.count("ArrowEvalPython") == 1 and first.count("Exchange hashpartitioning") == 1
+    assert sorted((r["cik"], r["class_label"], r["votes_per_share"], r["confidence"]) for r in found.collect()) == [(1, "Class A", 2.0, "review"), (1, "Class B", 1.0, "high")]
