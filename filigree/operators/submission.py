@@ -69,7 +69,6 @@ class _Tables(html.parser.HTMLParser):
         self.open: list[dict] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        at = dict(attrs)
         if tag == "table":
             caption = re.sub(r"\s+", " ", " ".join(self.before)).strip()[-400:]
             self.found.append({"caption": caption, "text": [], "rows": [], "cell": None})
@@ -80,7 +79,8 @@ class _Tables(html.parser.HTMLParser):
         elif self.open and tag in ("td", "th"):
             if not self.open[-1]["rows"]:
                 self.open[-1]["rows"].append([])
-            span = lambda name: max(1, min(1000, int(m[0]))) if (m := re.match(r"\d+", (at.get(name) or "").strip())) else 1
+            at = dict(attrs)
+            span = lambda name: max(1, min(1000, int(m[0]))) if name in at and (m := re.match(r"\d+", (at[name] or "").strip())) else 1
             self.open[-1]["cell"] = {"text": [], "cols": span("colspan"), "rows": span("rowspan")}
             self.open[-1]["rows"][-1].append(self.open[-1]["cell"])
         elif tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "div") and not self.open:
@@ -112,7 +112,7 @@ def grid(rows: list[list[dict]]) -> list[list[str | None]]:
         hanging = {c: (n - 1, v) for c, (n, v) in hanging.items() if n > 1}
         at = 0
         for cell in row:
-            value = re.sub(r"\s+", " ", "".join(cell["text"]).replace("\xa0", " ")).strip() or None
+            value = " ".join("".join(cell["text"]).split()) or None
             for _ in range(cell["cols"]):
                 while at in line:
                     at += 1
@@ -125,24 +125,73 @@ def grid(rows: list[list[dict]]) -> list[list[str | None]]:
     return [[line.get(c) for c in used] for line in out if any(line.get(c) is not None for c in used)]
 
 
+#: A start tag (name, attributes), end tag (name) or text (the rest) of plain markup; attributes hold no entities.
+_TOKEN = re.compile(r"""<([A-Za-z][A-Za-z0-9]*)((?:\s+[A-Za-z][A-Za-z-]*=(?:"[^"<>&]*"|'[^'<>&]*'|[^\s"'<>=`&/]+))*)\s*>|</([A-Za-z][A-Za-z0-9]*)>|([^<&]+)""", re.A)
+_ATTRIBUTE = re.compile(r"""([A-Za-z-]+)=(?:"([^"]*)"|'([^']*)'|(\S+))""", re.A)
+#: Elements whose content isn't markup, or is so only in some versions of the library.
+_RAW = re.compile(r"<(?:script|style|title|textarea|xmp|iframe|noembed|noframes|noscript|plaintext)", re.I)
+
+
+def _tokens(markup: str) -> list[tuple[str, str, str, str]] | None:
+    """(start tag, attributes, end tag, text) of markup made of plain tags and text alone; else None."""
+    if _RAW.search(markup):
+        return None
+    out, at = [], 0
+    for m in _TOKEN.finditer(markup):
+        begin, end = m.span()
+        if begin != at:
+            return None
+        at = end
+        out.append(m.groups(""))
+    return out if at == len(markup) else None
+
+
 def parse_tables(markup: str | None) -> list[tuple[int, str, str, list[list[str | None]]]]:
-    """(index, caption, own text, grid) of every table."""
+    """(index, caption, own text, grid) of every table; only markup that isn't plain goes through the library's parser, which is slow."""
     parser = _Tables()
-    parser.feed(markup or "")
-    parser.close()
-    return [(i, t["caption"], re.sub(r"\s+", " ", "".join(t["text"]).replace("\xa0", " ")).strip(), grid(t["rows"])) for i, t in enumerate(parser.found)]
+    tokens = _tokens(markup or "")
+    if tokens is None:
+        parser.feed(markup or "")
+        parser.close()
+    else:
+        for start, attrs, end, text in tokens:
+            if text:
+                parser.handle_data(text)
+            elif start:
+                parser.handle_starttag(start.lower(), [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attrs)] if attrs else [])
+            else:
+                parser.handle_endtag(end.lower())
+    return [(i, t["caption"], " ".join("".join(t["text"]).split()), grid(t["rows"])) for i, t in enumerate(parser.found)]
+
+
+#: A batch of tables is handed on from so many tables or characters of text.
+TABLES, TABLE_CHARS = 1000, 1_000_000
 
 
 def tables(df: DataFrame, markup: str = "html", key: str = "accession_number", categories: Sequence[str] | None = None) -> DataFrame:
     """Tables that match a keyword category (one of categories, if given): table_index, categories, keywords, caption, n_rows, n_cols and cells."""
     slim = df.select(F.col(key).alias("key_"), F.col(markup).alias("markup_"))
+    kinds = (pa.int32(), pa.string(), pa.string(), pa.list_(pa.list_(pa.string())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, page in zip(batch.column(0), batch.column(1).to_pylist()):
-                found = [t for t in parse_tables(page) if t[3]]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(found), batch.schema.field(0).type), *(pa.array(c, kind) for c, kind in zip(zip(*found), (pa.int32(), pa.string(), pa.string(), pa.list_(pa.list_(pa.string())))))], names=["key_", "table_index", "caption", "own", "cells"])
+            found: list[tuple] = []
+            where: list[int] = []
+            chars = 0
+            for i, page in enumerate(batch.column(1)):
+                for t in parse_tables(page.as_py()):
+                    if t[3]:
+                        found.append(t)
+                        where.append(i)
+                        chars += len(t[2])
+                if len(found) >= TABLES or chars >= TABLE_CHARS:
+                    yield built(batch.column(0), where, found)
+                    found, where, chars = [], [], 0
+            if found:
+                yield built(batch.column(0), where, found)
+
+    def built(keys: pa.Array, where: list[int], found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(where)), *(pa.array(c, kind) for c, kind in zip(zip(*found), kinds))], names=["key_", "table_index", "caption", "own", "cells"])
 
     rows = slim.mapInArrow(run, f"key_ {slim.schema['key_'].dataType.simpleString()}, table_index int, caption string, own string, cells array<array<string>>")
     rows = rows.withColumn("keywords", tx.matched_categories(F.concat_ws(" \n ", "caption", "own"))).withColumn("categories", F.array_sort(F.map_keys("keywords"))).where(F.size("categories") > 0)

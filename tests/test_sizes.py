@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from filigree import queries
-from filigree.operators import derived
+from filigree.operators import derived, submission
 from filigree.sources import instance
 from test_queries import SF, norm
 
@@ -31,7 +31,7 @@ def test_upsert_of_orders_that_share_an_accession_number(spark, tmp_path):
     assert len(same_as_sql(spark, "upsert_merge", tmp_path)) > 3
 
 
-@pytest.mark.parametrize("name", ["instance_parse", "voting_rights", "relative_votes"])
+@pytest.mark.parametrize("name", ["instance_parse", "voting_rights", "relative_votes", "table_grid"])
 def test_costly_rows_of_a_small_file_are_spread(spark, name):
     assert "REPARTITION_BY_NUM" in queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
@@ -54,3 +54,12 @@ def test_votes_read_each_text_once_and_meet_once(spark):
     first = plan.split("Initial Plan")[-1]
     assert first.count("ArrowEvalPython") == 1 and first.count("Exchange hashpartitioning") == 1
     assert sorted((r["cik"], r["class_label"], r["votes_per_share"], r["confidence"]) for r in found.collect()) == [(1, "Class A", 2.0, "review"), (1, "Class B", 1.0, "high")]
+
+
+def test_plain_markup_needs_no_library_parser_and_gives_the_same(monkeypatch):
+    plain = "<h2>Net sales</h2><table><tr><th>a<th COLSPAN='2'>b</th><tr><td rowspan=2> 1 > 0\n</td><td>2</td><td> </td></tr><TR><td>3</TABLE> after"
+    odd = [plain.replace("2</td>", x) for x in ("2&amp;</td>", "2<br/></td>", "2<!-- <td> --></td>", "<script><td></script>", "2</td x>", "2 < 3</td>")]
+    fast = [submission.parse_tables(plain)]
+    assert submission._tokens(plain) and not any(map(submission._tokens, odd))
+    monkeypatch.setattr(submission, "_tokens", lambda markup: None)
+    assert fast == [submission.parse_tables(plain)] and fast[0][0][3][1:] == [["1 > 0", "2", None], ["1 > 0", "3", None]]
