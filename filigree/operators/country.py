@@ -21,16 +21,36 @@ def decoded(df: DataFrame, code: str, prefix: str) -> DataFrame:
     return out.withColumn(f"{prefix}kind", kind).drop("code_", "kind_")
 
 
+def _trie(words: list[str]) -> str:
+    """A pattern of the longest of the words (letters and blanks) at a place."""
+    out, ends = [], "" in words
+    by_first: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            by_first.setdefault(w[0], []).append(w[1:])
+    for letter in sorted(by_first):
+        out.append(letter + _trie(by_first[letter]))
+    if not out:
+        return ""
+    return f"(?:{'|'.join(out)})" + ("?" if ends else "")
+
+
 def text_to_country(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with the country of a free-text jurisdiction: an alias, else the longest name that it holds as whole words.
 
     Names of equal length are taken in order state, province, country.  The fixed
     list of names is part of the expression, so nothing is joined or shuffled.
+    One pattern finds the longest name from each word on; only those are ranked,
+    so the cost grows with the words of the text and not with the names.
     """
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.col(text)), "[^a-z ]", " "), r"\s+", " "))
     aliases = F.create_map(*[x for t, c in data.pairs("alias") for x in (F.lit(data.plain(t)), F.lit(c))])
-    names = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("c")) for n, c, _ in data.place_names()])
-    found = F.get(F.filter(names, lambda p: F.contains(F.concat(F.lit(" "), F.col("plain_"), F.lit(" ")), F.concat(F.lit(" "), p["n"], F.lit(" ")))), F.lit(0))["c"]
+    ranks: dict[str, tuple[int, str]] = {}
+    for name, place, rank in data.place_names():
+        ranks.setdefault(name, (rank, place))
+    best = F.create_map(*[x for n, (r, c) in ranks.items() for x in (F.lit(n), F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")))])
+    held = F.regexp_extract_all(F.concat(F.lit(" "), F.col("plain_"), F.lit(" ")), F.lit(rf"(?<= )(?=({_trie(list(ranks))}) )"), F.lit(1))
+    found = F.array_min(F.transform(held, lambda n: F.try_element_at(best, n)))["c"]
     return df.withColumn("plain_", plain).withColumn(out, F.when(F.col("plain_") != "", F.coalesce(F.try_element_at(aliases, F.col("plain_")), found))).drop("plain_")
 
 

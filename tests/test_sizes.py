@@ -1,13 +1,14 @@
 """What shows only in larger tables than the smallest ones, or in odd ones."""
 
 import datetime
+import random
 
 import duckdb
 
 import pytest
 
-from filigree import queries
-from filigree.operators import derived, submission
+from filigree import data, queries
+from filigree.operators import country, derived, submission
 from filigree.sources import instance
 from test_queries import SF, norm
 
@@ -31,7 +32,7 @@ def test_upsert_of_orders_that_share_an_accession_number(spark, tmp_path):
     assert len(same_as_sql(spark, "upsert_merge", tmp_path)) > 3
 
 
-@pytest.mark.parametrize("name", ["instance_parse", "voting_rights", "relative_votes", "table_grid"])
+@pytest.mark.parametrize("name", ["instance_parse", "voting_rights", "relative_votes", "table_grid", "text_to_country_top1"])
 def test_costly_rows_of_a_small_file_are_spread(spark, name):
     assert "REPARTITION_BY_NUM" in queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
@@ -63,3 +64,19 @@ def test_plain_markup_needs_no_library_parser_and_gives_the_same(monkeypatch):
     assert submission._tokens(plain) and not any(map(submission._tokens, odd))
     monkeypatch.setattr(submission, "_tokens", lambda markup: None)
     assert fast == [submission.parse_tables(plain)] and fast[0][0][3][1:] == [["1 > 0", "2", None], ["1 > 0", "3", None]]
+
+
+def test_countries_of_random_word_lists_by_plain_search(spark):
+    names, aliases = data.place_names(), {data.plain(t): c for t, c in data.pairs("alias")}
+    rnd = random.Random(5)
+    words = sorted({w for n, _, _ in names for w in n.split()})
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(1, 4)) + rnd.choices(["x", rnd.choice(names)[0], "", "New", "of"], k=rnd.randint(0, 4))) for _ in range(1500)]
+    texts += [n for n, _, _ in names] + [f"{a[0]} {b[0]}" for a, b in zip(names, names[1:])] + ["", "  ", "guineax", "a-guinea.bissau"]
+    got = country.text_to_country(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), "t", "c")
+    # the list of names is searched in the pattern, not name by name
+    assert "filter(" not in got._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for i, t in enumerate(texts):
+        p = data.plain(t)
+        want[i] = aliases.get(p) or next((c for n, c, _ in names if f" {n} " in f" {p} "), None)
+    assert {r["i"]: r["c"] for r in got.collect()} == want
